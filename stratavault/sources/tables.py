@@ -4,12 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-CATALOGUE_SCHEMA = "schema string, name string, kind string"
-
-
 def read_seed(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """CSV with a header row and a declared schema; a byte-order mark is accepted."""
     return spark.read.csv(path, schema=schema, header=True, encoding="UTF-8", enforceSchema=True)
@@ -25,7 +23,7 @@ def read_jdbc(spark: SparkSession, url: str, name: str, partition_column: str |
     return reader.load()
 
 
-def table_kind(raw) -> F.Column:
+def table_kind(raw: Column | str) -> Column:
     """Catalogue spelling of a table type to the library's: table, external, view, materializedview, ..."""
     text = F.upper(raw if not isinstance(raw, str) else F.col(raw))
     return (F.when(text.isin("BASE TABLE", "MANAGED"), "table").when(text.isin("EXTERNAL", "EXTERNAL TABLE"), "external")
@@ -34,8 +32,11 @@ def table_kind(raw) -> F.Column:
 
 def catalogue(spark: SparkSession, database: str | None = None) -> DataFrame:
     """Tables and views the session knows: schema, name, kind."""
-    found = [(t.namespace[-1] if t.namespace else "", t.name, t.tableType) for t in spark.catalog.listTables(database)]
-    return spark.createDataFrame(found, CATALOGUE_SCHEMA).withColumn("kind", table_kind("kind"))
+    listed = spark.catalog.listTables(database)
+    columns = {"schema": [t.namespace[-1] if t.namespace else "" for t in listed],
+               "name": [t.name for t in listed], "kind": [t.tableType for t in listed]}
+    text = pa.schema([(c, pa.string()) for c in columns])
+    return spark.createDataFrame(pa.table(columns, schema=text)).withColumn("kind", table_kind("kind"))
 
 
 def relations_by_pattern(spark: SparkSession, schema_pattern: str, table_pattern: str, exclude: str = "",
