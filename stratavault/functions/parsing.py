@@ -45,8 +45,8 @@ def amount(c: ColumnLike, legacy: bool = False) -> Column:
 
 
 def integer(c: ColumnLike) -> Column:
-    text = F.trim(_column(c).cast("string"))
-    return F.when(text.rlike(r"^[+-]?[0-9]+$"), text.try_cast("int"))
+    """Whole-number text to int; blanks around it are allowed, fractions are not."""
+    return _column(c).cast("string").try_cast("int")
 
 
 def boolean(c: ColumnLike) -> Column:
@@ -55,16 +55,21 @@ def boolean(c: ColumnLike) -> Column:
     return F.when(text == "true", F.lit(True)).when(text == "false", F.lit(False))
 
 
+def _reshaped(text: Column, form: str, into: str) -> Column:
+    """Text of exactly this form rewritten with its groups; any other text becomes unreadable on purpose,
+    so that one replace decides and one cast reads."""
+    return F.regexp_replace(text, f"(?s)^(?:{form}|.*)$", into)
+
+
 def iso_timestamp(c: ColumnLike) -> Column:
     """``yyyy-MM-ddTHH:mm:ss`` to a zone-free timestamp; the empty timestamp is null."""
-    text = _column(c)
-    valid = text.rlike(r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}$") & (text != EMPTY_TIMESTAMP)
-    return F.when(valid, text.try_cast("timestamp_ntz"))
+    day, clock = r"(\d{4}-\d{2}-\d{2})", r"(\d{2}:\d{2}:\d{2})"
+    filled = F.nullif(_column(c), F.lit(EMPTY_TIMESTAMP))
+    return _reshaped(filled, f"{day}T{clock}", "$1T$2").try_cast("timestamp_ntz")
 
 
-def _dotted(text: Column, time_form: str) -> Column:
-    form = rf"^(\d{{2}})\.(\d{{2}})\.(\d{{4}}) ({time_form})$"
-    return F.when(text.rlike(form), F.regexp_replace(text, form, "$3-$2-$1T$4").try_cast("timestamp_ntz"))
+def _dotted(text: Column, clock: str) -> Column:
+    return _reshaped(text, rf"(\d{{2}})\.(\d{{2}})\.(\d{{4}}) ({clock})", "$3-$2-$1T$4").try_cast("timestamp_ntz")
 
 
 def local_timestamp(c: ColumnLike) -> Column:
@@ -79,9 +84,7 @@ def loose_timestamp(c: ColumnLike) -> Column:
 
 def dotted_date(c: ColumnLike, mark: str = ".") -> Column:
     """``dd.MM.yyyy`` (or another mark) to date."""
-    text = _column(c)
-    form = rf"^(\d{{2}})[{mark}](\d{{2}})[{mark}](\d{{4}})$"
-    return F.when(text.rlike(form), F.regexp_replace(text, form, "$3-$2-$1").try_cast("date"))
+    return _reshaped(_column(c), rf"(\d{{2}})[{mark}](\d{{2}})[{mark}](\d{{4}})", "$3-$2-$1").try_cast("date")
 
 
 def any_date(c: ColumnLike) -> Column:
