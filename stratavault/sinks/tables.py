@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from stratavault.operators.vault import upsert_by_key
+from stratavault.session import materialise
 
 # Schema of each model folder.
 LAYER_SCHEMAS = {"rdv": "main_rdv", "bdv": "main_bdv", "mart": "main_mart", "report": "main_report"}
@@ -44,22 +45,22 @@ def create_landing(spark: SparkSession, name: str, columns: Sequence[str]) -> No
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({listed}) USING parquet")
 
 
-def _writer(df: DataFrame, mode: str, max_records_per_file: int | None, partition_by: Sequence[str]):
+def _writer(df: DataFrame, mode: str, max_records_per_file: int | None = None, partition_by: Sequence[str] = ()):
     writer = df.write.mode(mode).format("parquet")
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
     return writer.partitionBy(*partition_by) if partition_by else writer
 
 
-def rebuild(df: DataFrame, name: str, partition_by: Sequence[str] = (), max_records_per_file: int | None = None) -> None:
+def rebuild(df: DataFrame, name: str, max_records_per_file: int | None = None) -> None:
     """Replace the table. The new content is complete before the old table goes, so it may read from it."""
     spark = df.sparkSession
     if not exists(spark, name):
-        _writer(df, "errorifexists", max_records_per_file, partition_by).saveAsTable(name)
+        _writer(df, "errorifexists", max_records_per_file).saveAsTable(name)
         return
     fresh = f"{name}__next"
     drop_table(spark, fresh)
-    _writer(df, "errorifexists", max_records_per_file, partition_by).saveAsTable(fresh)
+    _writer(df, "errorifexists", max_records_per_file).saveAsTable(fresh)
     drop_table(spark, name)
     spark.sql(f"ALTER TABLE {fresh} RENAME TO {name}")
 
@@ -70,7 +71,7 @@ def append(df: DataFrame, name: str, max_records_per_file: int | None = None) ->
     ordered = df.select(*[F.col(f"`{c}`") for c in spark.table(name).columns]) if exists(spark, name) else df
     counter = Observation("written")
     observed = ordered.observe(counter, F.count(F.lit(1)).alias("rows"))
-    _writer(observed, "append", max_records_per_file, ()).saveAsTable(name)
+    _writer(observed, "append", max_records_per_file).saveAsTable(name)
     return counter.get["rows"]
 
 
@@ -82,12 +83,19 @@ def upsert(df: DataFrame, name: str, keys: Sequence[str], order_by: Sequence[Col
 
 
 def append_history(df: DataFrame, name: str, full_refresh: bool = False) -> None:
-    """Add one load to a satellite, stored by load date, or start it anew."""
-    if full_refresh or not exists(df.sparkSession, name):
-        rebuild(df, name, partition_by=["load_date"])
+    """Add one load to a satellite, stored by load date, or start it anew.
+
+    A refresh computes the new content before it drops the old (partitioned tables are not renamed).
+    """
+    spark = df.sparkSession
+    if not exists(spark, name):
+        _writer(df, "errorifexists", partition_by=["load_date"]).saveAsTable(name)
+    elif full_refresh:
+        ready = materialise(df, name.replace(".", "_"))
+        drop_table(spark, name)
+        _writer(ready, "errorifexists", partition_by=["load_date"]).saveAsTable(name)
     else:
-        columns = df.sparkSession.table(name).columns
-        df.select(*columns).write.mode("append").insertInto(name)
+        df.select(*spark.table(name).columns).write.mode("append").insertInto(name)
 
 
 def companion_view(spark: SparkSession, name: str) -> str:
