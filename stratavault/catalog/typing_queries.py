@@ -8,11 +8,13 @@ from pyspark.sql import functions as F
 from stratavault.catalog.base import Query, portable, table
 from stratavault.functions.parsing import NBSP, NULL_TEXTS
 from stratavault.operators import typing as ty
+from stratavault.sources.tables import spread
 
 
 def text_lines(spark, d) -> DataFrame:
     """Line items as a landed file would show them: grouped digits, blanks, several date forms."""
-    li = table(spark, d, "lineitem")
+    li = spread(table(spark, d, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_extendedprice", "l_shipdate", "l_linenumber", "l_quantity", "l_returnflag"))
     price = F.col("l_extendedprice").cast("decimal(15,2)").cast("string")
     day = F.col("l_shipdate").cast("date")
     return li.select(

@@ -21,7 +21,7 @@ LINE_CHARACTERS = "\r\n\t"
 
 def clean_number(c: ColumnLike) -> Column:
     """Number text without blanks and no-break spaces."""
-    return F.trim(F.translate(_column(c).cast("string"), " " + NBSP, ""))
+    return F.replace(F.replace(_column(c).cast("string"), F.lit(" "), F.lit("")), F.lit(NBSP), F.lit(""))
 
 
 def landing_text(c: ColumnLike, separator: str = "|", legacy: bool = False) -> Column:

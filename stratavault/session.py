@@ -24,6 +24,8 @@ def build_session(app: str = "stratavault", master: str | None = None, **conf: s
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # larger generated methods are never compiled by the JVM; smaller pieces are
+        "spark.sql.codegen.hugeMethodLimit": "8000",
     }
     settings.update(conf)
     for key, value in settings.items():
