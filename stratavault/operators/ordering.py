@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 DEFAULT_SLICES = 64
 MAX_SLICES = 128  # the lookup is one compiled comparison tree; keep it small enough to be JIT-compiled
 EXPLODE_CHUNK = 10_000
+FREQUENT_VALUES = 16
 
 
 def order_value(df: DataFrame, column: str) -> Column:
@@ -84,18 +85,42 @@ def expand_copies(df: DataFrame, name: str = "_copies") -> DataFrame:
             .select(*[F.col(f"`{c}`") for c in kept]))
 
 
+def _refine_frequent(sliced: DataFrame, first: str, second: str, slices: int) -> DataFrame:
+    """Cut the slices further by ``second`` wherever ``first`` has one of its most frequent values.
+
+    A slice holds whole values of ``first``, so one value shared by many rows would fill a slice on its own.
+    Values between two frequent ones stay together: slices remain in (first, second) order.
+    """
+    counts = sliced.where(F.col(first).isNotNull()).groupBy(first).agg(F.count(F.lit(1)).alias("_n"))
+    top = counts.orderBy(F.desc("_n"), first).limit(FREQUENT_VALUES).agg(F.sort_array(F.collect_list(first)).alias("v"))
+    marked = sliced.withColumn("_frequent", top.scalar())
+    marked = marked.withColumn("_is_frequent", F.coalesce(F.array_contains("_frequent", F.col(first)), F.lit(False)))
+    cut = with_slices(marked.withColumnRenamed("_slice", "_outer"), second, slices,
+                      marked.where("_is_frequent").withColumnRenamed("_slice", "_outer"))
+    below = F.size(F.filter("_frequent", lambda v: v < F.col(first)))
+    place = F.when(F.col(first).isNull(), -1).otherwise(2 * F.coalesce(below, F.lit(0)) + F.col("_is_frequent").cast("int"))
+    inner = F.when(F.col("_is_frequent"), F.col("_slice")).otherwise(0)
+    return cut.withColumn("_slice", F.struct(F.col("_outer"), place.alias("place"), inner.alias("inner"))).drop(
+        "_outer", "_frequent", "_is_frequent")
+
+
 def with_neighbour(df: DataFrame, group: Sequence[str], order: Sequence[str], name: str,
-                   ahead: bool = True, slices: int = DEFAULT_SLICES,
-                   source: DataFrame | None = None) -> DataFrame:
+                   ahead: bool = True, slices: int = DEFAULT_SLICES, source: DataFrame | None = None) -> DataFrame:
     """Add ``name``: a struct of the next (or previous) row's ``order`` columns in the group, null at the end.
 
-    ``df`` must hold distinct ``(group, order)`` rows, for example from :func:`distinct_with_counts`.
+    ``df`` must hold distinct ``(group, order)`` rows, for example from :func:`distinct_with_counts`; ``order``
+    has one or two columns.
     """
     group, order = list(group), list(order)
+    if not 1 <= len(order) <= 2:
+        raise ValueError("order by one or two columns")
     sliced = with_slices(df, order[0], slices, source)
+    if len(order) == 2:
+        sliced = _refine_frequent(sliced, *order, slices)
     edge = F.struct(*order)
     ends = sliced.groupBy(*group, "_slice").agg((F.min(edge) if ahead else F.max(edge)).alias("_edge"))
-    along = Window.partitionBy(*(group or [F.lit(0)])).orderBy("_slice")  # at most one row per slice
+    # one row per slice: at most a few thousand per group, however many rows the group has
+    along = Window.partitionBy(*(group or [F.lit(0)])).orderBy("_slice")
     carried = (F.lead("_edge") if ahead else F.lag("_edge")).over(along)
     guests = (ends.withColumn("_edge", carried).where("_edge IS NOT NULL")
               .select(*group, "_slice", "_edge.*", F.lit(1 if ahead else -1).alias("_guest")))

@@ -46,6 +46,31 @@ def test_neighbours_any_data(spark, data, ahead, slices):
     assert as_pairs(o.with_neighbour(df, ["g"], ["v"], "n", ahead=ahead, slices=slices)) == chain(data, ahead)
 
 
+@pytest.mark.parametrize("ahead", [True, False])
+def test_two_columns_with_one_dominant_start(spark, ahead):
+    """A third of all rows: one group, one lower bound, many upper bounds."""
+    rng = random.Random(3)
+    data = {("hot", 50, u) for u in range(1500)} | {(f"g{rng.randrange(5)}", rng.randrange(100), rng.randrange(30)) for _ in range(3000)}
+    data |= {("hot", None, 1), ("hot", 50, None), (None, 50, 7), ("hot", 49, 3), ("hot", 51, 0)}
+    df = spark.createDataFrame(sorted(data, key=repr), "g string, lo bigint, hi bigint")
+    got = o.with_neighbour(df, ["g"], ["lo", "hi"], "n", ahead=ahead, slices=8)
+    found = sorted(((r["g"], (r["lo"], r["hi"]), None if r["n"] is None else (tuple(r["n"]),)) for r in got.collect()), key=repr)
+    def rank(pair):
+        return tuple((v is not None, v or 0) for v in pair)
+    groups = defaultdict(list)
+    for g, lo, hi in data:
+        groups[g].append((lo, hi))
+    expected = []
+    for g, members in groups.items():
+        members.sort(key=rank)
+        for i, pair in enumerate(members):
+            j = i + 1 if ahead else i - 1
+            expected.append((g, pair, (members[j],) if 0 <= j < len(members) else None))
+    assert found == sorted(expected, key=repr)
+    sizes = o._refine_frequent(o.with_slices(df, "lo", 8), "lo", "hi", 8).groupBy("g", "_slice").count()
+    assert sizes.agg({"count": "max"}).first()[0] < 500
+
+
 @pytest.mark.parametrize("kind,make", [
     ("timestamp_ntz", lambda i: datetime(2024, 1, 1) + timedelta(seconds=i * 977)),
     ("string", lambda i: ("ю" if i % 3 else "a") + f"{i * 7919 % 1000:04d}"),
