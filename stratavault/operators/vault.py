@@ -64,10 +64,11 @@ def link_by_name(stage: DataFrame, left: DataFrame, left_hk: str, left_name: str
     The stage is first folded to distinct (name, key) pairs, so its repeated rows never reach a join.
     """
     pairs = stage.select(_column(stage_name).alias("_name"), hash_key(*right_keys).alias(right_hk)).distinct()
-    named = left.select(F.col(left_name).alias("_name"), left_hk)
+    named = left.select(F.col(left_name).alias("_name"), left_hk).distinct()
     known = right.select(right_hk)
+    # distinct pairs and distinct (name, key) rows give distinct links: the large side is folded once only
     found = pairs.join(named, "_name").join(known, right_hk, "left_semi")
-    return _as_link(found, link_hk, left_hk, right_hk, load_ts, source, sep)
+    return _as_link(found, link_hk, left_hk, right_hk, load_ts, source, sep, distinct=False)
 
 
 def key_of(dimension: DataFrame, hk: str, name_column: str, name: str) -> Column:
