@@ -1,8 +1,9 @@
 """Ordered operators that never put one whole group, or one whole table, into a single task.
 
-A plain window pulls each partition key into one task. Here the ordering column is first cut into value
-slices at percentiles of the data, windows run per (group, slice), and neighbouring slices exchange one
-edge row. A group that holds a third of the table is therefore spread over many tasks.
+A plain window pulls each partition key into one task. Here the rows are first cut into slices of the order
+columns, windows run per (group, slice), and neighbouring slices exchange one edge row. The cut points come
+from an evenly spread sample, so a group or a first value that holds a third of the rows is spread over a
+third of the slices. They only decide how work is divided: results are exact for any cut points.
 """
 
 from __future__ import annotations
@@ -11,38 +12,26 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 DEFAULT_SLICES = 64
 MAX_SLICES = 128  # the lookup is one compiled comparison tree; keep it small enough to be JIT-compiled
+SAMPLE_ROWS = 4096
 EXPLODE_CHUNK = 10_000
-FREQUENT_VALUES = 16
-
-
-def order_value(df: DataFrame, column: str) -> Column:
-    """A double that never decreases when ``column`` increases. Used only to choose slices."""
-    kind, c = df.schema[column].dataType, F.col(f"`{column}`")
-    if isinstance(kind, T.NumericType):
-        return c.cast("double")
-    if isinstance(kind, T.DateType):
-        return F.unix_date(c).cast("double")
-    if isinstance(kind, T.TimestampNTZType):
-        return (F.unix_date(c.cast("date")).cast("double") * 86400
-                + F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c)).cast("double")
-    if isinstance(kind, T.TimestampType):
-        return F.unix_micros(c).cast("double")
-    if isinstance(kind, T.BooleanType):
-        return c.cast("int").cast("double")
-    if isinstance(kind, T.StringType):
-        head = F.rpad(F.hex(F.encode(c, "UTF-8")).substr(1, 12), 12, "0")
-        return F.conv(head, 16, 10).cast("double")
-    raise TypeError(f"cannot order by {column} of type {kind.simpleString()}")
-
-
-def slice_bounds(df: DataFrame, column: str, slices: int = DEFAULT_SLICES) -> Column:
-    """Cut points at equal shares of the rows, as a scalar subquery over one column of ``df``."""
-    shares = [i / slices for i in range(1, slices)]
-    return df.agg(F.percentile_approx(order_value(df, column), shares, 2000).alias("bounds")).scalar()
+
+
+def _order_value(order: Sequence[str]) -> Column:
+    return F.col(order[0]) if len(order) == 1 else F.struct(*order)
+
+
+def slice_bounds(df: DataFrame, order: Sequence[str], slices: int = DEFAULT_SLICES) -> Column:
+    """Cut points as a scalar subquery: the rows with the smallest hashes (the same ones in every run, few
+    kept per task), sorted and taken at equal distances."""
+    sample = (df.select(_order_value(order).alias("_value"), F.xxhash64(*df.columns).alias("_hash"))
+              .where("_value IS NOT NULL").orderBy("_hash", "_value").limit(SAMPLE_ROWS))
+    sorted_values = sample.agg(F.sort_array(F.collect_list("_value")).alias("_sorted"))
+    places = F.transform(F.sequence(F.lit(1), F.lit(slices - 1)),
+                         lambda i: F.get("_sorted", F.floor(i * F.size("_sorted") / slices).cast("int")))
+    return sorted_values.select(places.alias("bounds")).scalar()
 
 
 def _slice_number(slices: int) -> Column:
@@ -55,17 +44,12 @@ def _slice_number(slices: int) -> Column:
     return F.expr(f"IF(_value IS NULL, -1, {tree(0, slices - 1)})")
 
 
-def with_slices(df: DataFrame, column: str, slices: int = DEFAULT_SLICES, source: DataFrame | None = None) -> DataFrame:
-    """Add ``_slice``: rows with a smaller ``column`` never have a greater slice, equal values share one.
-
-    The cut points come from ``source`` (any frame with the same column, default ``df``). They only decide
-    how work is spread; every result is exact for any cut points.
-    """
+def with_slices(df: DataFrame, order: Sequence[str], slices: int = DEFAULT_SLICES) -> DataFrame:
+    """Add ``_slice``: it never decreases along ``order``, and equal order values share one."""
     if not 2 <= slices <= MAX_SLICES:
         raise ValueError(f"slices must be between 2 and {MAX_SLICES}")
-    cut = df.withColumn("_bounds", slice_bounds(df if source is None else source, column, slices))
-    placed = cut.withColumn("_value", order_value(df, column))
-    return placed.withColumn("_slice", _slice_number(slices)).drop("_bounds", "_value")
+    cut = df.withColumns({"_bounds": slice_bounds(df, order, slices), "_value": _order_value(order)})
+    return cut.withColumn("_slice", _slice_number(slices)).drop("_bounds", "_value")
 
 
 def distinct_with_counts(df: DataFrame, columns: Sequence[str], name: str = "_copies") -> DataFrame:
@@ -85,41 +69,17 @@ def expand_copies(df: DataFrame, name: str = "_copies") -> DataFrame:
             .select(*[F.col(f"`{c}`") for c in kept]))
 
 
-def _refine_frequent(sliced: DataFrame, first: str, second: str, slices: int) -> DataFrame:
-    """Cut the slices further by ``second`` wherever ``first`` has one of its most frequent values.
-
-    A slice holds whole values of ``first``, so one value shared by many rows would fill a slice on its own.
-    Values between two frequent ones stay together: slices remain in (first, second) order.
-    """
-    counts = sliced.where(F.col(first).isNotNull()).groupBy(first).agg(F.count(F.lit(1)).alias("_n"))
-    top = counts.orderBy(F.desc("_n"), first).limit(FREQUENT_VALUES).agg(F.sort_array(F.collect_list(first)).alias("v"))
-    marked = sliced.withColumn("_frequent", top.scalar())
-    marked = marked.withColumn("_is_frequent", F.coalesce(F.array_contains("_frequent", F.col(first)), F.lit(False)))
-    cut = with_slices(marked.withColumnRenamed("_slice", "_outer"), second, slices,
-                      marked.where("_is_frequent").withColumnRenamed("_slice", "_outer"))
-    below = F.size(F.filter("_frequent", lambda v: v < F.col(first)))
-    place = F.when(F.col(first).isNull(), -1).otherwise(2 * F.coalesce(below, F.lit(0)) + F.col("_is_frequent").cast("int"))
-    inner = F.when(F.col("_is_frequent"), F.col("_slice")).otherwise(0)
-    return cut.withColumn("_slice", F.struct(F.col("_outer"), place.alias("place"), inner.alias("inner"))).drop(
-        "_outer", "_frequent", "_is_frequent")
-
-
 def with_neighbour(df: DataFrame, group: Sequence[str], order: Sequence[str], name: str,
-                   ahead: bool = True, slices: int = DEFAULT_SLICES, source: DataFrame | None = None) -> DataFrame:
+                   ahead: bool = True, slices: int = DEFAULT_SLICES) -> DataFrame:
     """Add ``name``: a struct of the next (or previous) row's ``order`` columns in the group, null at the end.
 
-    ``df`` must hold distinct ``(group, order)`` rows, for example from :func:`distinct_with_counts`; ``order``
-    has one or two columns.
+    ``df`` must hold distinct ``(group, order)`` rows, for example from :func:`distinct_with_counts`.
     """
     group, order = list(group), list(order)
-    if not 1 <= len(order) <= 2:
-        raise ValueError("order by one or two columns")
-    sliced = with_slices(df, order[0], slices, source)
-    if len(order) == 2:
-        sliced = _refine_frequent(sliced, *order, slices)
+    sliced = with_slices(df, order, slices)
     edge = F.struct(*order)
     ends = sliced.groupBy(*group, "_slice").agg((F.min(edge) if ahead else F.max(edge)).alias("_edge"))
-    # one row per slice: at most a few thousand per group, however many rows the group has
+    # one row per slice: at most slices + 1 per group, however many rows the group has
     along = Window.partitionBy(*(group or [F.lit(0)])).orderBy("_slice")
     carried = (F.lead("_edge") if ahead else F.lag("_edge")).over(along)
     guests = (ends.withColumn("_edge", carried).where("_edge IS NOT NULL")
@@ -130,10 +90,9 @@ def with_neighbour(df: DataFrame, group: Sequence[str], order: Sequence[str], na
     return rows.withColumn(name, found.over(local)).where("_guest = 0").drop("_guest", "_slice")
 
 
-def numbered(df: DataFrame, order: str, name: str, slices: int = DEFAULT_SLICES,
-             source: DataFrame | None = None) -> DataFrame:
+def numbered(df: DataFrame, order: str, name: str, slices: int = DEFAULT_SLICES) -> DataFrame:
     """``row_number()`` over the whole of ``df`` (distinct ``order`` values), numbered slice by slice."""
-    sliced = with_slices(df, order, slices, source)
+    sliced = with_slices(df, [order], slices)
     sizes = sliced.groupBy("_slice").agg(F.count(F.lit(1)).alias("_rows"))
     before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_slice", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))

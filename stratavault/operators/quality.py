@@ -184,7 +184,7 @@ def mutually_exclusive_ranges(df: DataFrame, lower: ColumnLike, upper: ColumnLik
     bounds = ["lower_bound", "upper_bound"]
     ranges = df.select(*[_quoted(g) for g in group], _column(lower).alias("lower_bound"), _column(upper).alias("upper_bound"))
     folded = distinct_with_counts(ranges, [*group, *bounds])
-    chained = with_neighbour(folded, group, bounds, "_next", ahead=True, slices=slices, source=ranges)
+    chained = with_neighbour(folded, group, bounds, "_next", ahead=True, slices=slices)
     # equal ranges are followed by themselves, except for the last copy
     one = F.lit(1).cast("bigint")
     copies = F.array(
@@ -207,7 +207,7 @@ def sequential_values(df: DataFrame, column: str, interval: int = 1, datepart: s
     previous = f"previous_{slug(column)}"
     rows = df.select(*[_quoted(g) for g in group_by], _quoted(column))
     folded = distinct_with_counts(rows, [*group_by, column])
-    chained = with_neighbour(folded, group_by, [column], "_before", ahead=False, slices=slices, source=rows)
+    chained = with_neighbour(folded, group_by, [column], "_before", ahead=False, slices=slices)
     one = F.lit(1).cast("bigint")
     copies = F.array(F.struct(one.alias("n"), F.col(f"_before.`{column}`").alias("p")),
                      F.struct((F.col("_copies") - 1).alias("n"), _quoted(column).alias("p")))
