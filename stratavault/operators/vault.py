@@ -61,12 +61,12 @@ def link_by_name(stage: DataFrame, left: DataFrame, left_hk: str, left_name: str
                  load_ts: str, source: str, sep: str = KEY_SEPARATOR) -> DataFrame:
     """Link of two hubs through stage rows: left found by name, right by the computed key.
 
-    The stage is first folded to distinct (name, key) pairs, so its repeated rows never reach a join.
+    The stage is first folded to distinct (name, key) pairs, so its repeated rows never reach a join. Hubs hold
+    one row per key, so the pairs stay distinct.
     """
     pairs = stage.select(_column(stage_name).alias("_name"), hash_key(*right_keys).alias(right_hk)).distinct()
-    named = left.select(F.col(left_name).alias("_name"), left_hk).distinct()
+    named = left.select(F.col(left_name).alias("_name"), left_hk)
     known = right.select(right_hk)
-    # distinct pairs and distinct (name, key) rows give distinct links: the large side is folded once only
     found = pairs.join(named, "_name").join(known, right_hk, "left_semi")
     return _as_link(found, link_hk, left_hk, right_hk, load_ts, source, sep, distinct=False)
 
@@ -80,7 +80,7 @@ def link_to_constant(stage: DataFrame, dimension: DataFrame, dimension_hk: str,
                      right: DataFrame, right_hk: str, link_hk: str, load_ts: str, source: str,
                      sep: str = KEY_SEPARATOR, keep_missing: bool = False,
                      right_keys: Sequence[ColumnLike] | None = None) -> DataFrame:
-    """Link of every right key to the one dimension row called ``name``.
+    """Link of every key of the hub ``right`` to the one dimension row called ``name``.
 
     ``keep_missing`` keeps the rows with a null dimension key when no such row exists. With ``right_keys``
     only right keys that occur in the stage are linked, else all of them as long as the stage has any row.
@@ -94,7 +94,7 @@ def link_to_constant(stage: DataFrame, dimension: DataFrame, dimension_hk: str,
     pairs = keys.select(key_of(dimension, dimension_hk, name_column, name).alias(dimension_hk), right_hk)
     if not keep_missing:
         pairs = pairs.where(F.col(dimension_hk).isNotNull())
-    return _as_link(pairs, link_hk, dimension_hk, right_hk, load_ts, source, sep)
+    return _as_link(pairs, link_hk, dimension_hk, right_hk, load_ts, source, sep, distinct=False)
 
 
 def link_between(left: DataFrame, right: DataFrame, left_hk: str, right_hk: str, link_hk: str,

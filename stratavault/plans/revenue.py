@@ -96,7 +96,8 @@ class Tables(Mapping[str, DataFrame]):
 def raw_vault(stage: Stage, load_ts: str, store: Store = materialise) -> Tables:
     """All raw-vault tables by name (``hub_*``, ``sat_*``, ``link_*``).
 
-    The folded key columns are stored once; all hubs and links read them instead of the raw stage.
+    The folded key columns, the revenue hub and the ranked sectors are stored once; what builds on them reads
+    the stored rows instead of the raw stage.
     """
     make: dict[str, Callable[[], DataFrame]] = {"grain": lambda: store(revenue_grain(stage.revenue), "revenue_grain")}
     tables = Tables(make)
@@ -121,9 +122,9 @@ def raw_vault(stage: Stage, load_ts: str, store: Store = materialise) -> Tables:
             tables["hub_revenue"], "revenue_hk", f"link_{entity}_revenue_hk", load_ts, REVENUE_SOURCE,
             keep_missing=keep_missing, right_keys=keys)
 
-    make["hub_revenue"] = lambda: hub_revenue(grain(), load_ts)
+    make["hub_revenue"] = lambda: store(hub_revenue(grain(), load_ts), "hub_revenue")
     make["sat_revenue"] = lambda: sat_revenue(stage.revenue, load_ts)
-    make["sat_sales_sector"] = lambda: sat_sales_sector(grain(), load_ts)
+    make["sat_sales_sector"] = lambda: store(sat_sales_sector(grain(), load_ts), "sat_sales_sector")
     hub_of(stage.roads, "road", "fullname", "fullname")
     hub_of(stage.centers, "medical_center", "fullname", "medical_center")
     hub_of(stage.channels, "sales_channel", "shortname", "shortname")

@@ -30,7 +30,7 @@ def list_objects(spark: SparkSession, root: str, buckets: Sequence[str], pattern
     paths = [f"{root.rstrip('/')}/{b}" for b in buckets]
     found = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern)
              .load(paths).select("path", "modificationTime", "length"))
-    location = F.regexp_replace(F.url_decode(F.replace(F.col("path"), F.lit("+"), F.lit("%2B"))), "^.*/", "")
+    location = F.substring_index("path", "/", -1)
     bucket = F.lit(None).cast("string")
     for name in buckets:
         bucket = F.when(F.contains("path", F.lit(f"/{name}/")), name).otherwise(bucket)

@@ -102,15 +102,15 @@ def test_listing(spark, tmp_path):
     for bucket in ("one", "two"):
         (tmp_path / bucket).mkdir()
     (tmp_path / "one" / f"my file.v1_--_ivan_--_{GUID}.xlsx").write_bytes(b"12345")
-    (tmp_path / "two" / "plain+name.csv").write_bytes(b"1")
+    (tmp_path / "two" / "plain+50% name.csv").write_bytes(b"1")
     listing = fi.list_objects(spark, str(tmp_path), ["one", "two"])
     assert listing.columns == fi.LISTING_COLUMNS
     assert rows(listing.select("bucket", "key", "file_name", "user_name", "guid", "table_name", "size")) == [
         ("one", f"my file.v1_--_ivan_--_{GUID}.xlsx", "my file.v1.xlsx", "ivan", GUID, "my_file_v1_xlsx", 5),
-        ("two", "plain+name.csv", "plain+name.csv", "unknown", "unknown", "plain+name_csv", 1)]
+        ("two", "plain+50% name.csv", "plain+50% name.csv", "unknown", "unknown", "plain+50%_name_csv", 1)]
     plan = listing._jdf.queryExecution().executedPlan().toString()
     assert "content" not in plan
-    assert bytes(fi.read_object(spark, str(tmp_path / "two" / "plain+name.csv")).first()["content"]) == b"1"
+    assert bytes(fi.read_object(spark, str(tmp_path / "two" / "plain+50% name.csv")).first()["content"]) == b"1"
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         fi.read_object(spark, str(tmp_path / "none")).collect()
 
