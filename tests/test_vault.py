@@ -118,3 +118,24 @@ def test_latest(spark):
 def test_upsert(frame):
     now, new = frame("(1,'a',1), (2,'b',1)", "k", "v", "t"), frame("(2,'c',2), (3,'d',2), (3,'e',3)", "k", "v", "t")
     assert rows(v.upsert_by_key(now, new, ["k"], [F.desc("t")])) == [(1, "a", 1), (2, "c", 2), (3, "e", 3)]
+
+
+def test_hot_name_is_split_in_the_join(spark):
+    """Without broadcast, adaptive execution splits the partition of a name that holds most pairs."""
+    changed = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+               "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+               "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k, None) for k in changed}
+    for k, value in changed.items():
+        spark.conf.set(k, value)
+    try:
+        data = spark.range(0, 20_000, 1, 8).selectExpr(
+            "CASE WHEN id % 4 < 3 THEN 'hot' ELSE concat('n', id % 500) END AS name", "cast(id as string) AS bk").repartition(8)
+        left = v.hub(data, "left_hk", ["name"], {"name": "name"}, L1, "s")
+        right = v.hub(data, "right_hk", ["bk"], {"bk": "bk"}, L1, "s")
+        link = v.link_by_name(data, left, "left_hk", "name", F.col("name"), right, "right_hk", ["bk"], "link_hk", L1, "s")
+        assert len(link.collect()) == 20_000
+        assert "skew=true" in plan(link) or "skewed" in plan(link)
+    finally:
+        for k, value in before.items():
+            spark.conf.unset(k) if value is None else spark.conf.set(k, value)
