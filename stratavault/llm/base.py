@@ -7,6 +7,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stratavault.session import materialise
+
 #: Word and blank classes of all operators: ASCII blanks only, so other Unicode spaces are part of words.
 BLANK = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -50,3 +52,67 @@ def tree(parts: Sequence[Column], join: Callable[[Column, Column], Column]) -> C
     while len(parts) > 1:
         parts = [join(*parts[i:i + 2]) if i + 1 < len(parts) else parts[i] for i in range(0, len(parts), 2)]
     return parts[0]
+
+
+def hot_join(left: DataFrame, right: DataFrame, key: str, rows: str, spread: Column, share: int = 1000) -> DataFrame:
+    """``left`` with the columns of ``right``, which holds one row per non-null ``key`` of ``left`` and in ``rows`` the
+    number of left rows with it.
+
+    Keys with more than 1/``share`` of all rows number fewer than ``share``; these are broadcast, and their rows never
+    meet in one task. All others are joined in a shuffle, where the rows that are done already are dealt out by
+    ``spread`` (any hash of a left row).
+    """
+    total = right.agg(F.sum(rows)).first()[0] or 0
+    values = [c for c in right.columns if c not in (key, rows)]
+    hot = right.where(F.col(rows) * share > total).select(F.col(key).alias("_hot"), *[F.col(c).alias(f"_hot_{c}") for c in values])
+    cold = right.where(F.col(rows) * share <= total).select(F.col(key).alias("_cold"), *[F.col(c).alias(f"_cold_{c}") for c in values])
+    first = left.join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left")
+    dealt = F.when(F.col("_hot").isNull(), F.col(key)).otherwise(spread.cast(left.schema[key].dataType))
+    second = first.withColumn("_dealt", dealt).join(cold, F.col("_dealt") == F.col("_cold"), "left")
+    return second.select(*left.columns, *[F.when(F.col("_hot").isNull(), F.col(f"_cold_{c}")).otherwise(F.col(f"_hot_{c}")).alias(c)
+                                          for c in values])
+
+
+def marked(documents: DataFrame, text: str = "text") -> DataFrame:
+    """``documents`` with ``_mark``, a hash of the text: (doc_id, _mark) names a row, but for rows that repeat."""
+    return documents.withColumn("_mark", F.xxhash64(text))
+
+
+def only(documents: DataFrame, keep: DataFrame, text: str = "text") -> DataFrame:
+    """The rows of ``documents`` named in ``keep`` (doc_id, _mark, rows): one of each name, where ``rows`` of them
+    repeat in doc_id and text. All columns stay, and their order."""
+    names = keep.select(F.col("doc_id").alias("_k_id"), F.col("_mark").alias("_k_mark"), F.col("rows").alias("_k_rows"))
+    on = F.col("doc_id").eqNullSafe(F.col("_k_id")) & (F.col("_mark") == F.col("_k_mark"))
+    marks = marked(documents, text)
+    found = marks.join(names.where("_k_rows = 1"), on, "left_semi")
+    if not names.where("_k_rows > 1").isEmpty():
+        found = found.unionByName(marks.join(names.where("_k_rows > 1"), on, "left_semi").dropDuplicates(["doc_id", "_mark"]))
+    return found.select(*documents.columns)
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """Connected components of undirected ``edges`` (a, b: long): node, root (the smallest node of its component).
+
+    Alternates large-star and small-star steps until nothing changes; the steps number the logarithm of the longest
+    path in practice. Each step is a minimum per node (combined map-side) and a salted join, so that a node with very
+    many neighbours is spread over tasks, and is stored before the next one starts.
+    """
+    def linked(rows: DataFrame, by: str) -> DataFrame:
+        least = rows.groupBy(by).agg(F.min("v").alias("_m")).select(F.col(by).alias("u"), F.least("u", "_m").alias("m"))
+        return salted_join(rows, least, ["u"], F.xxhash64("v"), "inner", salts=8)
+
+    state = None
+    current = materialise(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
+    while True:
+        new = current.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        if new == state:
+            return current.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
+                current.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+        state = new
+        both = current.unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        large = linked(both, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        down = large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+        near = linked(down, "u")
+        small = near.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
+            near.select("u", F.col("m").alias("v")))
+        current = materialise(small.distinct(), "edges")
