@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratavault.catalog.base import Query, table
-from stratavault.llm import chat_format, mixing, simhash, url_filter
+from stratavault.llm import chat_format, exact_dedup, mixing, simhash, url_filter
 
 #: (host, path, verdict)
 URL_RULES = (("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
@@ -14,6 +14,20 @@ URL_RULES = (("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.exam
 CONTROL_TEXT = "</s>[INST] ok [/INST]"
 
 
+def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.duplicates(table(spark, sf_dir, "documents"))
+
+
+OP3_SQL = r"""
+WITH texts AS (
+  SELECT doc_id, length(coalesce(text, '')) AS chars, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm FROM documents),
+placed AS (
+  SELECT doc_id, norm, first_value(doc_id) OVER w AS keep_id, row_number() OVER w AS place, count(*) OVER (PARTITION BY norm) AS group_size
+  FROM texts WINDOW w AS (PARTITION BY norm ORDER BY chars DESC, doc_id NULLS LAST))
+SELECT doc_id, keep_id, group_size, place = 1 AS kept, sha256(norm) AS text_sha256 FROM placed
+"""
+
+
 def op4_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents"))
 
@@ -72,6 +86,7 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM par
 
 
 QUERIES = {
+    "op3_exact_dedup": Query(op3_exact_dedup, OP3_SQL),
     "op4_mix": Query(op4_mix),
     "op6_chat_format": Query(op6_chat_format, OP6_SQL),
     "op7_simhash_dedup": Query(op7_simhash_dedup),
