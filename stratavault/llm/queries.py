@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratavault.catalog.base import Query, table
-from stratavault.llm import chat_format, exact_dedup, mixing, simhash, url_filter
+from stratavault.llm import chat_format, decontaminate, exact_dedup, mixing, simhash, url_filter
 
 #: (host, path, verdict)
 URL_RULES = (("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
@@ -85,10 +85,41 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM par
 """
 
 
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaked_pairs(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+OP10_SQL = r"""
+WITH doc_words AS (
+  SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+item_words AS (
+  SELECT row_number() OVER () AS i, item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM benchmark),
+doc_shingles AS (
+  SELECT r, doc_id, len(w) - 4 AS m, p - 1 AS p, array_to_string(w[p:p + 4], ' ') AS s
+  FROM (SELECT *, unnest(range(1, len(w) - 3)) AS p FROM doc_words WHERE len(w) >= 5)),
+item_shingles AS (
+  SELECT i, item_id, n, s, count(*) AS c FROM (
+    SELECT i, item_id, len(w) - 4 AS n, array_to_string(w[p:p + 4], ' ') AS s
+    FROM (SELECT *, unnest(range(1, len(w) - 3)) AS p FROM item_words WHERE len(w) >= 5)) GROUP BY ALL),
+windows AS (
+  SELECT DISTINCT r, doc_id, i, item_id, n, least(n, m) AS shown, least(p, greatest(m - n, 0)) AS t
+  FROM doc_shingles JOIN item_shingles USING (s)),
+weights AS (
+  SELECT w.r, w.doc_id, w.i, w.item_id, w.n, w.shown, w.t, d.s, count(*) AS a
+  FROM windows w JOIN doc_shingles d ON d.r = w.r AND d.p >= w.t AND d.p < w.t + w.shown GROUP BY ALL),
+scored AS (
+  SELECT r, doc_id, item_id, t, sum(least(a, c)) / (n + shown - sum(least(a, c))) AS similarity
+  FROM weights JOIN item_shingles USING (i, s, item_id, n) GROUP BY r, doc_id, i, item_id, n, shown, t)
+SELECT doc_id, item_id, max(similarity) AS similarity, arg_min(t, struct_pack(a := -similarity, b := t)) AS start
+FROM scored WHERE similarity >= 0.8 GROUP BY doc_id, item_id
+"""
+
+
 QUERIES = {
     "op3_exact_dedup": Query(op3_exact_dedup, OP3_SQL),
     "op4_mix": Query(op4_mix),
     "op6_chat_format": Query(op6_chat_format, OP6_SQL),
     "op7_simhash_dedup": Query(op7_simhash_dedup),
     "op9_url_filter": Query(op9_url_filter, OP9_SQL),
+    "op10_decontaminate": Query(op10_decontaminate, OP10_SQL),
 }
