@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratavault.catalog.base import Query, table
-from stratavault.llm import chat_format, decontaminate, exact_dedup, mixing, simhash, url_filter
+from stratavault.llm import chat_format, decontaminate, exact_dedup, mixing, quality, simhash, url_filter
 
 #: (host, path, verdict)
 URL_RULES = (("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
@@ -64,6 +64,10 @@ def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return url_filter.judge(table(spark, sf_dir, "pages"), rules)
@@ -120,6 +124,7 @@ QUERIES = {
     "op4_mix": Query(op4_mix),
     "op6_chat_format": Query(op6_chat_format, OP6_SQL),
     "op7_simhash_dedup": Query(op7_simhash_dedup),
+    "op8_quality": Query(op8_quality),
     "op9_url_filter": Query(op9_url_filter, OP9_SQL),
     "op10_decontaminate": Query(op10_decontaminate, OP10_SQL),
 }
