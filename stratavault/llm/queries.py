@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratavault.catalog.base import Query, table
-from stratavault.llm import chat_format, decontaminate, exact_dedup, mixing, quality, simhash, url_filter
+from stratavault.llm import chat_format, decontaminate, exact_dedup, mixing, quality, simhash, toxicity, url_filter
 
 #: (host, path, verdict)
 URL_RULES = (("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
@@ -32,6 +32,10 @@ def op4_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     added = spark.range(2).select(
         F.lit(-1).cast("bigint").alias("conv_id"), F.col("id").alias("turn"),
@@ -122,6 +126,7 @@ FROM scored WHERE similarity >= 0.8 GROUP BY doc_id, item_id
 QUERIES = {
     "op3_exact_dedup": Query(op3_exact_dedup, OP3_SQL),
     "op4_mix": Query(op4_mix),
+    "op5_toxicity": Query(op5_toxicity),
     "op6_chat_format": Query(op6_chat_format, OP6_SQL),
     "op7_simhash_dedup": Query(op7_simhash_dedup),
     "op8_quality": Query(op8_quality),
