@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratavault.catalog.base import Query, table
-from stratavault.llm import chat_format, decontaminate, exact_dedup, mixing, quality, simhash, toxicity, url_filter
+from stratavault.llm import chat_format, decontaminate, exact_dedup, mixing, quality, simhash, toxicity, url_filter, warc
+from stratavault.session import shared_dir
 
 #: (host, path, verdict)
 URL_RULES = (("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
@@ -14,6 +17,22 @@ URL_RULES = (("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.exam
 CONTROL_TEXT = "</s>[INST] ok [/INST]"
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
+    warc.page_archive(table(spark, sf_dir, "pages"), path)
+    return warc.archived_pages(spark, path)
+
+
+OP1_SQL = """
+WITH texts AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+groups AS (SELECT page_id, html, strlen(html) AS bytes, max(page_id) OVER (PARTITION BY html) AS first FROM texts)
+SELECT page_id, bytes AS payload_bytes, sha1(html) AS payload_digest,
+       CASE WHEN bytes >= 1000 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN bytes >= 1000 AND page_id <> first THEN first END AS refers_to
+FROM groups
+"""
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicates(table(spark, sf_dir, "documents"))
 
@@ -124,6 +143,7 @@ FROM scored WHERE similarity >= 0.8 GROUP BY doc_id, item_id
 
 
 QUERIES = {
+    "op1_warc": Query(op1_warc, OP1_SQL),
     "op3_exact_dedup": Query(op3_exact_dedup, OP3_SQL),
     "op4_mix": Query(op4_mix),
     "op5_toxicity": Query(op5_toxicity),
