@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratavault.catalog.base import Query, table
-from stratavault.llm import chat_format, decontaminate, exact_dedup, mixing, quality, simhash, toxicity, url_filter, warc
+from stratavault.llm import chat_format, decontaminate, exact_dedup, mixing, quality, secrets, simhash, toxicity, url_filter, warc
 from stratavault.session import shared_dir
 
 #: (host, path, verdict)
@@ -33,6 +33,10 @@ FROM groups
 """
 
 
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scanned(table(spark, sf_dir, "documents"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicates(table(spark, sf_dir, "documents"))
 
@@ -144,6 +148,7 @@ FROM scored WHERE similarity >= 0.8 GROUP BY doc_id, item_id
 
 QUERIES = {
     "op1_warc": Query(op1_warc, OP1_SQL),
+    "op2_secrets": Query(op2_secrets),
     "op3_exact_dedup": Query(op3_exact_dedup, OP3_SQL),
     "op4_mix": Query(op4_mix),
     "op5_toxicity": Query(op5_toxicity),
