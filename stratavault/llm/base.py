@@ -13,6 +13,8 @@ from stratavault.session import materialise
 BLANK = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
 SALTS = 16
+#: Narrow rows (ids, hashes, short keys: under 100 bytes) up to this number are sent to every executor.
+BROADCAST_ROWS = 500_000
 
 
 def whole(column: str) -> Column:
@@ -54,6 +56,13 @@ def tree(parts: Sequence[Column], join: Callable[[Column, Column], Column]) -> C
     return parts[0]
 
 
+def by_size(names: DataFrame, counted: DataFrame | None = None, most: int = BROADCAST_ROWS) -> DataFrame:
+    """``names``, to be broadcast if it has (or ``counted``, its parts, has) at most ``most`` rows; Spark joins it in a shuffle
+    beyond that. Both ways give the same rows; the first spares a shuffle of all texts."""
+    few = (names if counted is None else counted).limit(most + 1).count() <= most
+    return F.broadcast(names) if few else names
+
+
 def hot_join(left: DataFrame, right: DataFrame, key: str, rows: str, spread: Column, share: int = 1000) -> DataFrame:
     """``left`` with the columns of ``right``, which holds one row per non-null ``key`` of ``left`` and in ``rows`` the
     number of left rows with it.
@@ -82,11 +91,13 @@ def only(documents: DataFrame, keep: DataFrame, text: str = "text") -> DataFrame
     """The rows of ``documents`` named in ``keep`` (doc_id, _mark, rows): one of each name, where ``rows`` of them
     repeat in doc_id and text. All columns stay, and their order."""
     names = keep.select(F.col("doc_id").alias("_k_id"), F.col("_mark").alias("_k_mark"), F.col("rows").alias("_k_rows"))
+    names = materialise(names, "kept-names")
     on = F.col("doc_id").eqNullSafe(F.col("_k_id")) & (F.col("_mark") == F.col("_k_mark"))
     marks = marked(documents, text)
-    found = marks.join(names.where("_k_rows = 1"), on, "left_semi")
-    if not names.where("_k_rows > 1").isEmpty():
-        found = found.unionByName(marks.join(names.where("_k_rows > 1"), on, "left_semi").dropDuplicates(["doc_id", "_mark"]))
+    found = marks.join(by_size(names.where("_k_rows = 1")), on, "left_semi")
+    several = names.where("_k_rows > 1")
+    if not several.isEmpty():
+        found = found.unionByName(marks.join(by_size(several), on, "left_semi").dropDuplicates(["doc_id", "_mark"]))
     return found.select(*documents.columns)
 
 

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratavault.llm.base import hot_join, marked, only, salted_join
+from stratavault.llm.base import by_size, hot_join, marked, only, salted_join
 from stratavault.session import materialise
 
 #: Two primes below 2**31 and a base for each.
@@ -136,7 +136,7 @@ def _parts(documents: DataFrame, members: DataFrame, text: str, size: int) -> Da
     """key, doc_id, _mark, place, part: the normalised texts of ``members`` in chunks."""
     names = members.select("key", F.col("doc_id").alias("_d"), F.col("_mark").alias("_m"))
     on = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_mark") == F.col("_m"))
-    texts = marked(documents, text).withColumn("_text", F.col(text).cast("string")).select("doc_id", "_mark", "_text").join(names, on)
+    texts = marked(documents, text).withColumn("_text", F.col(text).cast("string")).select("doc_id", "_mark", "_text").join(by_size(names), on)
     return texts.select("key", F.col("doc_id").cast("bigint").alias("doc_id"), "_mark", "_text").mapInPandas(
         _slices(size), "key string, doc_id bigint, _mark bigint, place bigint, part binary")
 
