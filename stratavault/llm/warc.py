@@ -241,7 +241,7 @@ class WarcWriter(ds.DataSourceArrowWriter):
                 for i in range(batch.num_rows):
                     if out is None:
                         names.append(f"part-{place:05d}-{run}-{len(names)}.warc" + ".gz" * self.packed)
-                        out, size = system.open_output_stream(f"{root}/{names[-1]}", buffer_size=1 << 20), 0
+                        out, size = system.open_output_stream(f"{root}/{names[-1]}", compression=None, buffer_size=1 << 20), 0
                     record = record_bytes(*(c[i].as_py() for c in columns))
                     out.write(gzip.compress(record, 6) if self.packed else record)
                     size += len(record)
