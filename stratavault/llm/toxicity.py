@@ -193,7 +193,8 @@ def probabilities(text: Column, chain: Chain | None) -> Column:
         out = [np.zeros((0, len(CATEGORIES)))]
         for i in range(0, len(texts), 1000):
             rows = [describe(t, chain.places, chain.heads, known) for t in texts.iloc[i:i + 1000]]
-            out.append(predict(_matrix(rows, len(chain.places)), chain.weights))
+            wordy = np.array([[float(words > 0)] for _, _, words in rows])
+            out.append(predict(_matrix(rows, len(chain.places)), chain.weights) * wordy)
         return pd.DataFrame(np.concatenate(out), columns=list(CATEGORIES))
     return of(text)
 
@@ -202,7 +203,7 @@ def judged(documents: DataFrame, labels: DataFrame, text: str = "text") -> DataF
     """One row per row of ``documents``: doc_id, p_toxic, p_severe, p_toxic_junk, toxic (1 if p_toxic reaches the threshold
     found on out-of-fold predictions).
 
-    Null texts count as empty; without labels of both kinds all probabilities and verdicts are 0; null doc_ids are
+    Null texts count as empty, and texts without words have probabilities of 0; without labels of both kinds all probabilities and verdicts are 0; null doc_ids are
     judged too; repeated rows get equal results; an empty table gives none; other columns are not read.
     """
     chain = train(documents, labels, text)
