@@ -106,8 +106,7 @@ def single_value(spark, d):
 
 def results_as_columns(spark, d):
     counts = table(spark, d, "orders").groupBy("o_orderpriority", "o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
-    packed = rel.results_as_columns(counts)
-    return packed.select(*[F.concat_ws(",", F.col(c).cast("array<string>")).alias(c) for c in packed.columns])
+    return rel.results_as_columns(counts)
 
 
 def generate_series(spark, d):
@@ -224,10 +223,10 @@ QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, ev
     "column_values_topk": Query(column_values_topk, """SELECT l_suppkey AS value, count(*) AS row_count FROM lineitem WHERE l_quantity > 10
 GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 20"""),
     "single_value": Query(single_value, "SELECT min(s_acctbal) AS lowest, CAST(-1.0 AS DOUBLE) AS missing FROM supplier"),
-    "results_as_columns": Query(results_as_columns, """WITH c AS (SELECT o_orderpriority, o_orderstatus, count(*) AS n FROM orders GROUP BY 1, 2)
-SELECT string_agg(o_orderpriority, ',' ORDER BY o_orderpriority, o_orderstatus) AS o_orderpriority,
-string_agg(o_orderstatus, ',' ORDER BY o_orderpriority, o_orderstatus) AS o_orderstatus,
-string_agg(CAST(n AS VARCHAR), ',' ORDER BY o_orderpriority, o_orderstatus) AS n FROM c"""),
+    "results_as_columns": Query(results_as_columns, """WITH c AS (SELECT o_orderpriority, o_orderstatus, count(*) AS n FROM orders GROUP BY 1, 2),
+r AS (SELECT *, row_number() OVER (ORDER BY o_orderpriority NULLS FIRST, o_orderstatus NULLS FIRST, n) AS position FROM c)
+SELECT position, unnest(['o_orderpriority', 'o_orderstatus', 'n']) AS column_name,
+unnest([o_orderpriority, o_orderstatus, CAST(n AS VARCHAR)]) AS value FROM r"""),
     "generate_series": Query(generate_series, """SELECT g AS generated_number, coalesce(lines, 0) AS lines
 FROM range(1, (SELECT max(o_orderkey) FROM orders) + 1) t(g)
 LEFT JOIN (SELECT l_orderkey, count(*) AS lines FROM lineitem GROUP BY 1) ON g = l_orderkey"""),

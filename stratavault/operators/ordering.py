@@ -13,21 +13,27 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_SLICES = 64
-MAX_SLICES = 128  # the lookup is one compiled comparison tree; keep it small enough to be JIT-compiled
-SAMPLE_ROWS = 4096
+LEAST_SLICES = 64
+SAMPLE_PER_SLICE = 64
 EXPLODE_CHUNK = 10_000
 
 
+def slice_count(df: DataFrame, slices: int | None = None) -> int:
+    """The asked number of slices, or as many as the session has shuffle partitions (64 at least)."""
+    if slices is not None and slices < 2:
+        raise ValueError("slices must be at least 2")
+    return slices or max(LEAST_SLICES, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def _order_value(order: Sequence[str]) -> Column:
     return F.col(order[0]) if len(order) == 1 else F.struct(*order)
 
 
-def slice_bounds(df: DataFrame, order: Sequence[str], slices: int = DEFAULT_SLICES) -> Column:
-    """Cut points as a scalar subquery: the rows with the smallest hashes (the same ones in every run, few
-    kept per task), sorted and taken at equal distances."""
+def slice_bounds(df: DataFrame, order: Sequence[str], slices: int) -> Column:
+    """Cut points as a scalar subquery: the rows with the smallest hashes (the same ones in every run, a number in
+    proportion to the slices), sorted and taken at equal distances."""
     sample = (df.select(_order_value(order).alias("_value"), F.xxhash64(*df.columns).alias("_hash"))
-              .where("_value IS NOT NULL").orderBy("_hash", "_value").limit(SAMPLE_ROWS))
+              .where("_value IS NOT NULL").orderBy("_hash", "_value").limit(SAMPLE_PER_SLICE * slices))
     sorted_values = sample.agg(F.sort_array(F.collect_list("_value")).alias("_sorted"))
     places = F.transform(F.sequence(F.lit(1), F.lit(slices - 1)),
                          lambda i: F.get("_sorted", F.floor(i * F.size("_sorted") / slices).cast("int")))
@@ -35,19 +41,15 @@ def slice_bounds(df: DataFrame, order: Sequence[str], slices: int = DEFAULT_SLIC
 
 
 def _slice_number(slices: int) -> Column:
-    """Slice of ``_value`` among ``_bounds``, as a balanced comparison tree; nulls come first (-1)."""
-    def tree(lo: int, hi: int) -> str:
-        if lo == hi:
-            return str(lo)
-        mid = (lo + hi) // 2
-        return f"IF(_value < get(_bounds, {mid}), {tree(lo, mid)}, {tree(mid + 1, hi)})"
-    return F.expr(f"IF(_value IS NULL, -1, {tree(0, slices - 1)})")
+    """Number of ``_bounds`` up to ``_value``, by binary search; nulls come first (-1)."""
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(slices.bit_length()))])
+    found = F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get("_bounds", at + step - 1) <= F.col("_value"), at + step).otherwise(at))
+    return F.when(F.col("_value").isNull(), -1).otherwise(found)
 
 
-def with_slices(df: DataFrame, order: Sequence[str], slices: int = DEFAULT_SLICES) -> DataFrame:
+def with_slices(df: DataFrame, order: Sequence[str], slices: int | None = None) -> DataFrame:
     """Add ``_slice``: it never decreases along ``order``, and equal order values share one."""
-    if not 2 <= slices <= MAX_SLICES:
-        raise ValueError(f"slices must be between 2 and {MAX_SLICES}")
+    slices = slice_count(df, slices)
     cut = df.withColumns({"_bounds": slice_bounds(df, order, slices), "_value": _order_value(order)})
     return cut.withColumn("_slice", _slice_number(slices)).drop("_bounds", "_value")
 
@@ -58,19 +60,24 @@ def distinct_with_counts(df: DataFrame, columns: Sequence[str], name: str = "_co
 
 
 def expand_copies(df: DataFrame, name: str = "_copies") -> DataFrame:
-    """Repeat each row ``name`` times. Large repeats are spread over tasks in chunks."""
-    kept = [c for c in df.columns if c != name]
-    chunks = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col(name) - 1) / EXPLODE_CHUNK).cast("bigint"))
-    spread = (df.where(F.col(name) > 0)
-              .withColumn("_chunk", F.explode(chunks))
-              .repartition(*[F.col(f"`{c}`") for c in kept], F.col("_chunk")))
-    in_chunk = F.least(F.lit(EXPLODE_CHUNK).cast("bigint"), F.col(name) - F.col("_chunk") * EXPLODE_CHUNK)
-    return (spread.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), in_chunk)))
-            .select(*[F.col(f"`{c}`") for c in kept]))
+    """Repeat each row ``name`` times. Large repeats are cut into chunks that are spread over tasks; the chunks of one
+    row are made in two levels, so that no array grows with the number of copies."""
+    kept = [F.col(f"`{c}`") for c in df.columns if c != name]
+    block = EXPLODE_CHUNK * EXPLODE_CHUNK
+
+    def ranges(upto: Column, size: int) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((upto - 1) / size).cast("bigint")))
+
+    blocks = df.where(F.col(name) > 0).withColumn("_block", ranges(F.col(name), block))
+    in_block = F.least(F.lit(block).cast("bigint"), F.col(name) - F.col("_block") * block)
+    chunks = blocks.withColumn("_in_block", in_block).withColumn("_chunk", ranges(F.col("_in_block"), EXPLODE_CHUNK))
+    spread = chunks.repartition(*kept, "_block", "_chunk")  # a row per 10 000 copies, not the copies
+    in_chunk = F.least(F.lit(EXPLODE_CHUNK).cast("bigint"), F.col("_in_block") - F.col("_chunk") * EXPLODE_CHUNK)
+    return spread.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), in_chunk))).select(*kept)
 
 
 def with_neighbour(df: DataFrame, group: Sequence[str], order: Sequence[str], name: str,
-                   ahead: bool = True, slices: int = DEFAULT_SLICES) -> DataFrame:
+                   ahead: bool = True, slices: int | None = None) -> DataFrame:
     """Add ``name``: a struct of the next (or previous) row's ``order`` columns in the group, null at the end.
 
     ``df`` must hold distinct ``(group, order)`` rows, for example from :func:`distinct_with_counts`.
@@ -90,7 +97,7 @@ def with_neighbour(df: DataFrame, group: Sequence[str], order: Sequence[str], na
     return rows.withColumn(name, found.over(local)).where("_guest = 0").drop("_guest", "_slice")
 
 
-def numbered(df: DataFrame, order: str, name: str, slices: int = DEFAULT_SLICES) -> DataFrame:
+def numbered(df: DataFrame, order: str, name: str, slices: int | None = None) -> DataFrame:
     """``row_number()`` over the whole of ``df`` (distinct ``order`` values), numbered slice by slice."""
     sliced = with_slices(df, [order], slices)
     sizes = sliced.groupBy("_slice").agg(F.count(F.lit(1)).alias("_rows"))

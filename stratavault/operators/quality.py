@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from stratavault.functions.keys import ColumnLike, _column
 from stratavault.functions.scalars import slug
-from stratavault.operators.ordering import DEFAULT_SLICES, distinct_with_counts, expand_copies, with_neighbour
+from stratavault.operators.ordering import distinct_with_counts, expand_copies, with_neighbour
 from stratavault.operators.relational import _quoted, tagged_difference
 
 
@@ -176,7 +176,7 @@ RANGE_RULES = {"not_allowed": ("=", "equal_to"), "allowed": ("<=", "less_than_or
 
 def mutually_exclusive_ranges(df: DataFrame, lower: ColumnLike, upper: ColumnLike, partition_by: str | None = None,
                               gaps: str = "allowed", zero_length_range_allowed: bool = False,
-                              slices: int = DEFAULT_SLICES) -> DataFrame:
+                              slices: int | None = None) -> DataFrame:
     """Ranges that are empty or reversed, or that do not end before the next one of their partition starts."""
     if gaps not in RANGE_RULES:
         raise ValueError(f"gaps must be one of {sorted(RANGE_RULES)}, got {gaps!r}")
@@ -202,7 +202,7 @@ def mutually_exclusive_ranges(df: DataFrame, lower: ColumnLike, upper: ColumnLik
 
 
 def sequential_values(df: DataFrame, column: str, interval: int = 1, datepart: str | None = None,
-                      group_by: Sequence[str] = (), slices: int = DEFAULT_SLICES) -> DataFrame:
+                      group_by: Sequence[str] = (), slices: int | None = None) -> DataFrame:
     """Values that are not exactly ``interval`` after the previous value of their group."""
     previous = f"previous_{slug(column)}"
     rows = df.select(*[_quoted(g) for g in group_by], _quoted(column))

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from stratavault.functions.keys import ColumnLike, _column
 from stratavault.functions.scalars import slug
+from stratavault.operators.ordering import distinct_with_counts, numbered
 
 
 def _quoted(name: str, alias: str | None = None) -> Column:
@@ -145,9 +146,10 @@ def column_values(df: DataFrame, column: str, order_by: Sequence[Column] | None
     return ordered.limit(max_records) if max_records is not None else ordered
 
 
-def column_value_list(df: DataFrame | None, column: str, max_records: int, default: Sequence[object] | None = None,
+def column_value_list(df: DataFrame | None, column: str, max_records: int | None = None, default: Sequence[object] | None = None,
                       where: str | None = None) -> list[object]:
-    """The values as a Python list, at most ``max_records`` of them, for building plans such as pivots."""
+    """The values as a Python list for building plans such as pivots: all of them, or the ``max_records`` most frequent
+    ones where a limit is asked for. The list is one column of a plan to be built, so it has to fit the driver."""
     if df is None:
         if default is None:
             raise ValueError("relation does not exist and no default was given")
@@ -162,17 +164,14 @@ def single_value(df: DataFrame, default: object = None) -> DataFrame:
     return cell.select(F.when(F.col("n") > 0, F.col("v")).otherwise(F.lit(default)).alias("value"))
 
 
-def results_as_columns(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
-    """A small result turned into one row with one array per column, rows ordered by all columns.
-
-    Meant for report-size results: more than ``max_rows`` rows fail the query, none are cut off.
-    """
-    row = F.struct(*[_quoted(c) for c in df.columns])
-    packed = df.limit(max_rows + 1).agg(F.sort_array(F.collect_list(row)).alias("r"))
-    whole = F.when(F.size("r") <= max_rows, F.col("r")).otherwise(
-        F.raise_error(F.lit(f"result has more than {max_rows} rows")))
-    return packed.select(whole.alias("r")).select(
-        *[F.col("r").getField(c).alias(c) for c in df.columns])
+def results_as_columns(df: DataFrame) -> DataFrame:
+    """A result column by column: one row (column_name, position, value) per cell, values as text, positions from 1 in
+    the order of all columns (nulls first). Any number of rows; numbered slice by slice, never in one task."""
+    folded = distinct_with_counts(df, df.columns)
+    copies = folded.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies"))))
+    ordered = numbered(copies.withColumn("_row", F.struct(*[_quoted(c) for c in df.columns], "_copy")), "_row", "position")
+    texts = ordered.select("position", *[_quoted(c).cast("string").alias(c) for c in df.columns])
+    return texts.unpivot(["position"], [_quoted(c) for c in df.columns], "column_name", "value")
 
 
 def generate_series(spark: SparkSession, upper_bound: int) -> DataFrame:

@@ -22,10 +22,11 @@ DATETIME_FORM = r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}"
 DATETIME_LIKE = ["%-%-%T%:%:%", "%-%- %:%:%"]
 DATE_FORM = r"^([0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}|[0-9]{2}/[0-9]{2}/[0-9]{4})$"
 DECIMAL_TYPE, INTEGER_TYPE, DATE_TYPE, DATETIME_TYPE = "DECIMAL(38,10)", "INTEGER", "DATE", "DATETIME"
+LONG_TYPE, WIDE_TYPE = "BIGINT", "DECIMAL(38,0)"
 LONGEST_TEXT, OVERLONG_TEXT = 65535, 65533
 
 COUNTERS = ["not_null_count", "truly_non_empty_count", "total_rows", "integer_count", "decimal_count",
-            "fractional_values_count", "datetime_count", "date_count", "max_length"]
+            "fractional_values_count", "datetime_count", "date_count", "max_length", "max_digits", "max_fraction", "coded_count"]
 
 
 def profile_columns(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -47,6 +48,7 @@ def profile_columns(df: DataFrame, columns: Sequence[str] | None = None) -> Data
     read = (cells.unionAll(listed).withColumn("_number", clean_number(text))
             .withColumn("_is_decimal", number.rlike(DECIMAL_FORM)))
     has_point = F.contains(number, F.lit("."))
+    digits = F.ltrim(F.substring_index(number, ".", 1), F.lit("-"))
     exact = number.try_cast("decimal(38,10)")
     like = reduce(lambda a, b: a | b, [text.like(p) for p in DATETIME_LIKE])
     counted = read.groupBy("field_nm").agg(
@@ -59,14 +61,19 @@ def profile_columns(df: DataFrame, columns: Sequence[str] | None = None) -> Data
         # every moment has a colon and every date ten bytes: cheap tests before the patterns
         F.count_if(F.contains(text, F.lit(":")) & (text.rlike(DATETIME_FORM) | like)).alias("datetime_count"),
         F.count_if((F.octet_length(text) == 10) & text.rlike(DATE_FORM)).alias("date_count"),
-        F.max(F.octet_length(text)).alias("max_length"))
+        F.max(F.octet_length(text)).alias("max_length"),
+        F.coalesce(F.max(F.when(is_decimal, F.length(digits))), F.lit(0)).alias("max_digits"),
+        F.coalesce(F.max(F.when(is_decimal & has_point, F.length(F.substring_index(number, ".", -1)))), F.lit(0)).alias("max_fraction"),
+        F.count_if(is_decimal & F.startswith(digits, F.lit("0")) & (F.length(digits) > 1)).alias("coded_count"))
     return counted.select("field_nm", *COUNTERS)
 
 
 def infer_types(profile: DataFrame, threshold: float = 1.0) -> DataFrame:
     """Type per profiled column, with the match percentages.
 
-    A form is accepted when at least ``threshold`` of the non-empty values have it (default: all of them).
+    A form is accepted when at least ``threshold`` of the non-empty values have it (default: all of them). A number
+    type is chosen wide enough for the longest digit run; numbers with leading zeros are codes and, like those too
+    long for any number type, stay text.
     """
     filled = F.col("truly_non_empty_count")
 
@@ -78,10 +85,14 @@ def infer_types(profile: DataFrame, threshold: float = 1.0) -> DataFrame:
 
     length = F.col("max_length")
     sized = F.concat(F.lit("VARCHAR("), F.greatest(length, F.lit(50)).cast("string"), F.lit(")"))
+    digits = F.col("max_digits")
+    whole = F.when(digits <= 9, INTEGER_TYPE).when(digits <= 18, LONG_TYPE).when(digits <= 38, WIDE_TYPE)
+    split = F.when((digits <= 28) & (F.col("max_fraction") <= 10), DECIMAL_TYPE)
+    number = F.when(matches("decimal_count") & (F.col("coded_count") == 0), F.when(F.col("fractional_values_count") > 0, split).otherwise(whole))
     decided = (F.when(filled == 0, DECIMAL_TYPE)
                .when(matches("datetime_count"), DATETIME_TYPE)
                .when(matches("date_count"), DATE_TYPE)
-               .when(matches("decimal_count"), F.when(F.col("fractional_values_count") > 0, DECIMAL_TYPE).otherwise(INTEGER_TYPE))
+               .when(number.isNotNull(), number)
                .when(length <= LONGEST_TEXT, sized).otherwise(f"VARCHAR({OVERLONG_TEXT})"))
     return profile.select(
         "field_nm", decided.alias("field_type_nm"), *[c for c in COUNTERS if c != "total_rows"],
@@ -99,8 +110,8 @@ def inferred_types(df: DataFrame, threshold: float = 1.0) -> dict[str, str]:
 def typed(name: str, type_name: str) -> Column:
     """One text column cast to its inferred type; unreadable text becomes null."""
     kind, c = type_name.upper(), _quoted(name).cast("string")
-    if kind == INTEGER_TYPE:
-        value = clean_number(c).try_cast("decimal(38,10)").try_cast("int")
+    if kind in (INTEGER_TYPE, LONG_TYPE):
+        value = clean_number(c).try_cast("decimal(38,10)").try_cast("int" if kind == INTEGER_TYPE else "bigint")
     elif kind.startswith("DECIMAL"):
         value = clean_number(c).try_cast(kind.lower())
     elif kind == DATE_TYPE:

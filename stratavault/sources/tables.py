@@ -8,6 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+
 def read_seed(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """CSV with a header row and a declared schema; a byte-order mark is accepted."""
     return spark.read.csv(path, schema=schema, header=True, encoding="UTF-8", enforceSchema=True)
@@ -23,13 +24,6 @@ def read_jdbc(spark: SparkSession, url: str, name: str, partition_column: str |
     return reader.load()
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """An input in fewer partitions than the session has cores (one workbook, one row group), dealt out to
-    all of them before CPU-heavy work. Larger inputs stay as they are. For scans, not for joins or groups."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def table_kind(raw: Column | str) -> Column:
     """Catalogue spelling of a table type to the library's: table, external, view, materializedview, ..."""
     text = F.upper(raw if not isinstance(raw, str) else F.col(raw))
