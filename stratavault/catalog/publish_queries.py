@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+import uuid
 
 from stratavault.catalog.base import Query, table
+from stratavault.session import shared_dir
 from stratavault.sinks import publish as pb
 from stratavault.sources.tables import column_list, relations_by_pattern
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "labels", "pages",
           "benchmark", "conversations", "embeddings"]
-RELATIONAL = TABLES[:8]
 
 
 def tables(spark, d, names=TABLES):
@@ -18,14 +18,14 @@ def tables(spark, d, names=TABLES):
 
 
 def catalog_columns(spark, d):
-    found = tables(spark, d, RELATIONAL)
+    found = tables(spark, d)
     for df in found.values():
         column_list(df)
     return pb.columns_of(found).drop("data_type")
 
 
 def type_mapping(spark, d):
-    return pb.structure(tables(spark, d, RELATIONAL)).select("table_name", "column_name", "target_type", "filled")
+    return pb.structure(tables(spark, d)).select("table_name", "column_name", "target_type", "filled")
 
 
 def pattern_counts(spark, d):
@@ -36,17 +36,31 @@ def pattern_counts(spark, d):
     return pb.row_counts({n.removeprefix("stratavault_all_"): spark.table(n) for n in found})
 
 
-def catalog_diff(spark, d):
-    """Document sources as table names: those known for French texts but not for German ones."""
-    docs = table(spark, d, "documents")
+def _folder(spark) -> str:
+    return f"{shared_dir(spark)}/published-{uuid.uuid4().hex}"
+
+
+def publish_counts(spark, d):
+    """Rows of the published copies, and of what was sent."""
+    folder = _folder(spark)
+    sent = pb.publish_files(spark, tables(spark, d), folder)
+    counted = pb.row_counts(pb.published(spark, folder))
+    reported = spark.createDataFrame([(r["table_name"], r["status"], r["source_rows"]) for r in sent], "table_name string, status string, source_rows bigint")
+    return counted.join(reported, "table_name")
 
-    def names(lang: str):
-        return docs.where(F.col("lang") == lang).select(F.concat(F.lit("stage_"), F.col("source"), F.lit("_"), F.col("n_chars") % 10).alias("table_name"))
-    return pb.stale_tables(names("de"), names("fr"))
+
+def catalog_diff(spark, d):
+    """A folder that holds all tables, published again from a source that has only the names in ``s``: the tables that go,
+    and the rows of those that stay."""
+    folder, every = _folder(spark), tables(spark, d)
+    pb.publish_files(spark, every, folder)
+    report = pb.publish_files(spark, {n: df for n, df in every.items() if n.endswith("s")}, folder)
+    names = spark.createDataFrame([(r["table_name"], r["status"]) for r in report], "table_name string, status string")
+    return names.join(pb.row_counts(pb.published(spark, folder)), "table_name", "left")
 
 
 # Expected serving types by column kind.
-KINDS = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE PRECISION", "text": "TEXT", "time": "TIMESTAMP"}
+KINDS = {"list": "VARCHAR(255)", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE PRECISION", "text": "TEXT", "time": "TIMESTAMP"}
 COLUMNS = {
     "region": "r_regionkey int, r_name text",
     "nation": "n_nationkey int, n_name text, n_regionkey int",
@@ -57,6 +71,12 @@ COLUMNS = {
     "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, "
                 "l_discount double, l_tax double, l_returnflag text, l_linestatus text, l_shipdate time",
     "events": "event_id bigint, ts time, user_id bigint, event_type text, value double, props text",
+    "documents": "doc_id bigint, text text, lang text, source text, n_chars bigint",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "pages": "page_id bigint, url text, html text",
+    "benchmark": "item_id bigint, text text",
+    "conversations": "conv_id bigint, turn bigint, role text, text text",
+    "embeddings": "vec_id bigint, embedding list, label int",
 }
 
 
@@ -73,10 +93,11 @@ QUERIES = {
         lambda t, i, c, k: f"SELECT '{t}' AS table_name, {i} AS position, '{c}' AS column_name, count({c}) AS filled FROM {t}")),
     "type_mapping": Query(type_mapping, _per_column(
         lambda t, i, c, k: f"SELECT '{t}' AS table_name, '{c}' AS column_name, '{KINDS[k]}' AS target_type, count({c}) AS filled FROM {t}")),
-    "publish_counts": Query(lambda s, d: pb.row_counts(tables(s, d)), " UNION ALL ".join(
-        f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in TABLES)),
+    "publish_counts": Query(publish_counts, " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, count(*) AS row_count, 'success' AS status, count(*) AS source_rows FROM {t}" for t in TABLES)),
     "relations_by_pattern": Query(pattern_counts, " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in TABLES if t.endswith("s") and t != "labels")),
-    "catalog_diff": Query(catalog_diff, """SELECT DISTINCT 'stage_' || source || '_' || (n_chars % 10) AS table_name FROM documents WHERE lang = 'fr'
-EXCEPT SELECT 'stage_' || source || '_' || (n_chars % 10) FROM documents WHERE lang = 'de'"""),
+    "catalog_diff": Query(catalog_diff, " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, 'success' AS status, count(*) AS row_count FROM {t}" if t.endswith("s")
+        else f"SELECT '{t}', 'dropped', NULL" for t in sorted(TABLES, key=lambda t: not t.endswith("s")))),
 }

@@ -1,9 +1,9 @@
 """Data-vault building blocks: hubs, satellites, links, current and latest-batch views.
 
-Sizes and skew: hubs and links fold their input with a map-side distinct before anything travels, so a
-business key that fills a third of the table costs one row per task. Single-row lookups ("the dimension
-row called X") are scalar subqueries, not joins. No side is broadcast by hint: Spark broadcasts a side
-only when its measured size is under the session threshold, and splits skewed join partitions otherwise.
+Sizes and skew: hubs, links and satellites fold their input map-side before anything travels, so a business key
+that fills a third of the table costs one row per task. Single-row lookups ("the dimension row called X") are
+scalar subqueries, not joins. Where many rows share the key of a small table, the test whether the key is known is
+a salted semi-join, so that no session setting decides whether a hot key lands in one task.
 """
 
 from __future__ import annotations
@@ -36,11 +36,25 @@ def hub(stage: DataFrame, hk: str, keys: Sequence[ColumnLike], columns: Mapping[
 
 def satellite(stage: DataFrame, hk: str, keys: Sequence[ColumnLike], attributes: Mapping[str, ColumnLike],
               load_ts: str, source: str, sep: str = KEY_SEPARATOR, keep_all: bool = False) -> DataFrame:
-    """Attributes per key and load time; ``keep_all`` keeps equal rows (measure satellites)."""
+    """Attributes per key and load time: one row per key, the smallest of several by its attributes in order (nulls
+    first). ``keep_all`` keeps every row (measure satellites)."""
     rows = stage.select(hash_key(*keys, sep=sep).alias(hk), *_named(attributes))
-    rows = rows if keep_all else rows.distinct()
+    if not keep_all:
+        whole = F.struct(*[F.col(f"`{a}`") for a in attributes])
+        rows = rows.groupBy(hk).agg(F.min(whole).alias("_a")).select(hk, "_a.*")
     audit = load_columns(load_ts, source)
-    return rows.select(hk, audit[0], *attributes, audit[1])
+    return rows.select(hk, audit[0], *[F.col(f"`{a}`") for a in attributes], audit[1])
+
+
+SALTS = 16
+
+
+def known_keys(rows: DataFrame, keys: DataFrame, key: str, spread: ColumnLike) -> DataFrame:
+    """The ``rows`` whose ``key`` occurs in ``keys``: a semi-join in which one key is spread over 16 tasks by a hash
+    of ``spread``; the distinct keys are repeated as often."""
+    salted = keys.select(F.col(key).alias("_known")).distinct().withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    dealt = rows.withColumn("_salt", F.pmod(F.xxhash64(_column(spread)), F.lit(SALTS)).cast("int"))
+    return dealt.join(salted, (dealt[key] == salted["_known"]) & (dealt["_salt"] == salted["_salt"]), "left_semi").drop("_salt")
 
 
 def measure(text: ColumnLike) -> Column:
@@ -56,18 +70,17 @@ def _as_link(pairs: DataFrame, link_hk: str, left_hk: str, right_hk: str, load_t
     return keyed.select("*", *load_columns(load_ts, source))
 
 
-def link_by_name(stage: DataFrame, left: DataFrame, left_hk: str, left_name: str, stage_name: ColumnLike,
+def link_by_name(stage: DataFrame, left: DataFrame, left_hk: str, stage_name: ColumnLike,
                  right: DataFrame, right_hk: str, right_keys: Sequence[ColumnLike], link_hk: str,
                  load_ts: str, source: str, sep: str = KEY_SEPARATOR) -> DataFrame:
-    """Link of two hubs through stage rows: left found by name, right by the computed key.
+    """Link of two hubs through stage rows. Both keys are computed, the left one from the name, and kept where the hubs
+    know them.
 
     The stage is first folded to distinct (name, key) pairs, so its repeated rows never reach a join. Hubs hold
     one row per key, so the pairs stay distinct.
     """
-    pairs = stage.select(_column(stage_name).alias("_name"), hash_key(*right_keys).alias(right_hk)).distinct()
-    named = left.select(F.col(left_name).alias("_name"), left_hk)
-    known = right.select(right_hk)
-    found = pairs.join(named, "_name").join(known, right_hk, "left_semi")
+    pairs = stage.select(hash_key(stage_name).alias(left_hk), hash_key(*right_keys).alias(right_hk)).distinct()
+    found = known_keys(pairs, left, left_hk, right_hk).join(right.select(right_hk), right_hk, "left_semi")
     return _as_link(found, link_hk, left_hk, right_hk, load_ts, source, sep, distinct=False)
 
 
@@ -100,7 +113,7 @@ def link_to_constant(stage: DataFrame, dimension: DataFrame, dimension_hk: str,
 def link_between(left: DataFrame, right: DataFrame, left_hk: str, right_hk: str, link_hk: str,
                  load_ts: str, source: str, sep: str = KEY_SEPARATOR) -> DataFrame:
     """Link from a hub that already carries the left key (business layer)."""
-    pairs = right.select(left_hk, right_hk).distinct().join(left.select(left_hk).distinct(), left_hk, "left_semi")
+    pairs = known_keys(right.select(left_hk, right_hk).distinct(), left, left_hk, right_hk)
     return _as_link(pairs, link_hk, left_hk, right_hk, load_ts, source, sep, distinct=False)
 
 
@@ -116,14 +129,16 @@ def keyed_dedupe(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column])
 
 
 def upsert_by_key(current: DataFrame, incoming: DataFrame, keys: Sequence[str], order_by: Sequence[Column]) -> DataFrame:
-    """Content of a keyed table after loading ``incoming``."""
-    return keyed_dedupe(current.unionByName(incoming), keys, order_by)
+    """Content of a keyed table after loading ``incoming``: the last write of a key wins, whatever its values; within
+    one load the first row in the given order."""
+    both = current.withColumn("_write", F.lit(0)).unionByName(incoming.withColumn("_write", F.lit(1)))
+    return keyed_dedupe(both, keys, [F.desc("_write"), *order_by]).drop("_write")
 
 
 def latest_per_key(history: DataFrame, hk: str, load_column: str = "load_date",
                    ties: Sequence[Column] = ()) -> DataFrame:
-    """The newest row of every key."""
-    return deduplicate(history, [hk], [F.desc(load_column), *ties])
+    """The newest row of every key; of several in one load the smallest by ``ties``, by default by all columns."""
+    return deduplicate(history, [hk], [F.desc(load_column), *(ties or [F.asc(f"`{c}`") for c in history.columns])])
 
 
 def latest_batch(history: DataFrame, load_column: str = "load_date") -> DataFrame:

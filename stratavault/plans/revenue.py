@@ -6,7 +6,7 @@ dimension members below.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from stratavault.functions.keys import first_of_month, hash_key
 from stratavault.operators import vault as v
 from stratavault.session import materialise
+from stratavault.sinks import tables as sinks
 
 Store = Callable[[DataFrame, str], DataFrame]
 
@@ -111,9 +112,9 @@ def raw_vault(stage: Stage, load_ts: str, store: Store = materialise) -> Tables:
     def directory_of(df: DataFrame, entity: str, column: str):
         make[f"sat_{entity}"] = lambda: directory_satellite(df, entity, column, load_ts)
 
-    def named_link(entity: str, name: str, column: str):
+    def named_link(entity: str, column: str):
         make[f"link_{entity}"] = lambda: v.link_by_name(
-            grain(), tables[f"hub_{entity}"], f"{entity}_hk", name, F.col(column), tables["hub_revenue"], "revenue_hk",
+            grain(), tables[f"hub_{entity}"], f"{entity}_hk", F.col(column), tables["hub_revenue"], "revenue_hk",
             revenue_keys(), f"link_{entity}_revenue_hk", load_ts, REVENUE_SOURCE)
 
     def constant_link(entity: str, member: str, keep_missing: bool = False, keys: list | None = None):
@@ -136,10 +137,10 @@ def raw_vault(stage: Stage, load_ts: str, store: Store = materialise) -> Tables:
     for name in DIRECTORIES:
         hub_of(stage.directories[name], name, "fullname", "fullname")
         directory_of(stage.directories[name], name, "fullname")
-    named_link("road", "fullname", ROAD)
-    named_link("medical_center", "medical_center", CENTER)
-    named_link("sales_channel", "shortname", CHANNEL)
-    named_link("sales_sector", "shortname", SECTOR)
+    named_link("road", ROAD)
+    named_link("medical_center", CENTER)
+    named_link("sales_channel", CHANNEL)
+    named_link("sales_sector", SECTOR)
     constant_link("discreteness", STEP_MONTH)
     constant_link("data_type", DATA_PRIMARY, keep_missing=True)
     constant_link("metric", METRIC_FACT, keep_missing=True)
@@ -170,15 +171,18 @@ def business_revenue(raw: Mapping[str, DataFrame], sector: str = SECTOR_PAID) ->
     rows = raw["hub_revenue"].select("revenue_hk", "year", "month").join(facts, "revenue_hk")
     for entity in ("road", "medical_center"):
         rows = rows.join(raw[f"link_{entity}"].select(f"{entity}_hk", "revenue_hk"), "revenue_hk")
-    # these links only decide whether a key takes part; each holds at most one row per pair
+    # these links only decide whether a key takes part
     for entity in ("sales_channel", "discreteness", "value_type", "data_type"):
-        rows = rows.join(raw[f"link_{entity}"].select("revenue_hk"), "revenue_hk")
-    # members of the newest directory load
+        rows = rows.join(raw[f"link_{entity}"].select("revenue_hk"), "revenue_hk", "left_semi")
+    # members of the newest directory load; most rows of a link may share one of them
     for entity, condition in (("unit", None), ("metric", None), ("sales_sector", F.col("shortname") == sector)):
         current = v.latest_batch(raw[f"sat_{entity}"])
-        members = (current if condition is None else current.where(condition)).select(f"{entity}_hk")
-        linked = raw[f"link_{entity}"].select(f"{entity}_hk", "revenue_hk").join(members, f"{entity}_hk")
-        rows = rows.join(linked, "revenue_hk")
+        members = current if condition is None else current.where(condition)
+        linked = v.known_keys(raw[f"link_{entity}"].select(f"{entity}_hk", "revenue_hk"), members, f"{entity}_hk", "revenue_hk")
+        if condition is None:
+            rows = rows.join(linked, "revenue_hk")
+        else:
+            rows = rows.join(linked, "revenue_hk", "left_semi")
 
     def member(entity: str, name: str):
         return v.key_of(v.latest_batch(raw[f"sat_{entity}"]), f"{entity}_hk", "fullname", name)
@@ -270,6 +274,27 @@ def mart(business: Mapping[str, DataFrame]) -> Tables:
     return Tables(make)
 
 
+#: Keys of the stored hubs and links: the first column of each; satellites keep every load.
+SATELLITES = ("sat_revenue", "sat_sales_sector", *(f"sat_{e}" for e in (*DIRECTORIES, "road", "medical_center", "sales_channel")))
+
+
+def load(stage: Stage, load_ts: str, database: str, names: Iterable[str] | None = None, full_refresh: bool = False) -> dict[str, str]:
+    """Load one delivery into stored raw-vault tables; returns their names.
+
+    Satellites gain the rows of this load, or replace them if the load is repeated; ``full_refresh`` starts them anew.
+    Hubs and links keep one row per key, the last write. ``names`` limits the load to some tables.
+    """
+    raw = raw_vault(stage, load_ts)
+    stored = {}
+    for name in names or [n for n in raw if n != "grain"]:
+        stored[name] = f"{database}.{name}"
+        if name in SATELLITES:
+            sinks.append_history(raw[name], stored[name], full_refresh)
+        else:
+            sinks.upsert_buckets(raw[name], stored[name], [raw[name].columns[0]])
+    return stored
+
+
 def build(stage: Stage, load_ts: str, store: Store = materialise) -> dict[str, Tables]:
     """All layers from stage to report. ``store`` decides how shared results are kept."""
     raw = raw_vault(stage, load_ts, store)

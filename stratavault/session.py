@@ -45,13 +45,38 @@ def shared_dir(spark: SparkSession) -> str:
     return made
 
 
+_STORED: list[str] = []
+
+
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Delete a file or folder in any store that the session reaches; whether there was one."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def list_folder(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if there is no such folder."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(f.getPath().getName() for f in store.listStatus(place)) if store.exists(place) else []
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once into the shared folder and read it back, so that later plans start from files.
 
     Used where one result feeds several outputs; a lost executor re-reads files instead of recomputing
-    the whole lineage.
+    the whole lineage. :func:`release` deletes what was stored, once the results built on it have been used.
     """
     spark = df.sparkSession
     path = os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
     df.write.mode("errorifexists").parquet(path)
+    _STORED.append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> int:
+    """Delete all intermediate tables stored so far; returns their number. Results that read them end with this."""
+    done = 0
+    while _STORED:
+        done += delete_path(spark, _STORED.pop())
+    return done

@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from stratavault.operators.relational import _quoted, difference
+from stratavault.session import delete_path, list_folder
 
 # Serving-store type for each Spark type; other types become the fallback.
 SERVING_TYPES = {
@@ -68,6 +69,33 @@ def copy_files(df: DataFrame, folder: str, name: str) -> None:
     df.write.mode("overwrite").parquet(f"{folder.rstrip('/')}/{name}")
 
 
+def published(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """The tables that a folder holds."""
+    return {n: spark.read.parquet(f"{folder.rstrip('/')}/{n}") for n in list_folder(spark, folder) if not n.startswith(("_", "."))}
+
+
+def publish_files(spark: SparkSession, tables: Mapping[str, DataFrame], folder: str, drop_stale: bool = True) -> list[dict[str, object]]:
+    """Copy every table into a folder, count the rows that were sent and those that can be read back, and drop what the
+    source no longer has. One entry per table: name, status, source_rows, target_rows; errors do not stop the others."""
+    report = []
+    for name, df in tables.items():
+        entry = {"table_name": name, "status": "success", "source_rows": None, "target_rows": None}
+        try:
+            counter = Observation()
+            copy_files(df.observe(counter, F.count(F.lit(1)).alias("rows")), folder, name)
+            entry["source_rows"] = counter.get["rows"]
+            entry["target_rows"] = spark.read.schema(df.schema).parquet(f"{folder.rstrip('/')}/{name}").count()
+            if entry["source_rows"] != entry["target_rows"]:
+                entry["status"] = "error: the copy has another number of rows"
+        except Exception as problem:  # noqa: BLE001 - reported per table
+            entry["status"] = f"error: {problem}"
+        report.append(entry)
+    for name in [n for n in list_folder(spark, folder) if n not in tables and not n.startswith(("_", "."))] if drop_stale else []:
+        delete_path(spark, f"{folder.rstrip('/')}/{name}")
+        report.append({"table_name": name, "status": "dropped", "source_rows": None, "target_rows": None})
+    return report
+
+
 def sync(tables: Mapping[str, DataFrame], write) -> dict[str, str]:
     """Copy every table with ``write(df, name)``; the outcome per table, errors do not stop the others."""
     outcome = {}

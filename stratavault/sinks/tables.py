@@ -82,8 +82,37 @@ def upsert(df: DataFrame, name: str, keys: Sequence[str], order_by: Sequence[Col
     rebuild(upsert_by_key(current, df, keys, order_by), name)
 
 
+BUCKETS = 64
+BUCKET = "key_bucket"
+
+
+def upsert_buckets(df: DataFrame, name: str, keys: Sequence[str], order_by: Sequence[Column] = (), buckets: int = BUCKETS) -> None:
+    """Load into a keyed table stored in ``buckets`` of its keys; only the buckets that ``df`` touches are written again.
+
+    The last write of a key wins; within one load the first row in the given order (by default by all columns).
+    """
+    spark = df.sparkSession
+    order = list(order_by) or [F.asc(f"`{c}`") for c in df.columns]
+    incoming = df.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+    if not exists(spark, name):
+        fresh = upsert_by_key(incoming.limit(0), incoming, keys, order)
+        _writer(fresh, "errorifexists", partition_by=[BUCKET]).saveAsTable(name)
+        return
+    incoming = materialise(incoming, name.replace(".", "_"))
+    touched = [r[BUCKET] for r in incoming.select(BUCKET).distinct().collect()]  # one number per bucket
+    current = spark.table(name).where(F.col(BUCKET).isin(touched))
+    ready = materialise(upsert_by_key(current.select(*incoming.columns), incoming, keys, order), name.replace(".", "_"))
+    _replace_partitions(ready, name)
+
+
+def _replace_partitions(df: DataFrame, name: str) -> None:
+    """Write ``df`` over the partitions of the table that it has rows for; the others stay."""
+    spark = df.sparkSession
+    df.select(*spark.table(name).columns).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(name)
+
+
 def append_history(df: DataFrame, name: str, full_refresh: bool = False) -> None:
-    """Add one load to a satellite, stored by load date, or start it anew.
+    """Add one load to a satellite, stored by load date, or start it anew. A load that comes again replaces its own rows.
 
     A refresh computes the new content before it drops the old (partitioned tables are not renamed).
     """
@@ -95,7 +124,7 @@ def append_history(df: DataFrame, name: str, full_refresh: bool = False) -> None
         drop_table(spark, name)
         _writer(ready, "errorifexists", partition_by=["load_date"]).saveAsTable(name)
     else:
-        df.select(*spark.table(name).columns).write.mode("append").insertInto(name)
+        _replace_partitions(df, name)
 
 
 def companion_view(spark: SparkSession, name: str) -> str:
