@@ -26,7 +26,8 @@ from pyspark.sql import datasource as ds
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from stratavault.llm.base import hot_join
+from stratavault.llm.base import BROADCAST_ROWS, hot_join
+from stratavault.session import materialise
 
 READ_SCHEMA = ("record_type string, record_id string, target_uri string, date string, content_type string, content_length bigint, "
                "payload_digest string, refers_to string, payload_length bigint, headers map<string,string>, payload binary")
@@ -312,20 +313,24 @@ LEAST_REVISIT = 1000
 _PAGE_ID = "<urn:page:"
 
 
-def page_archive(pages: DataFrame, path: str, least: int = LEAST_REVISIT, **options: str) -> None:
+def page_archive(pages: DataFrame, path: str, least: int = LEAST_REVISIT, most_groups: int = BROADCAST_ROWS, **options: str) -> None:
     """Write a record per row of ``pages`` (page_id, url, html): of rows with equal payloads of ``least`` bytes or more
     that with the largest page_id is the response and the others revisit it; all others are responses.
 
     The payload is the html in UTF-8, empty for null. Rows that repeat the largest page_id are all responses; a null
     page_id revisits any that is not null; line breaks in a url are percent-encoded; an empty table gives an archive
     without records; other columns are not read. Payloads meet by SHA-256 and length; a payload that fills a third of
-    the table is spread over all tasks.
+    the table is spread over all tasks. Up to ``most_groups`` payloads that repeat are sent to every executor, so that the
+    pages need no shuffle; more of them are joined in one, but for the most frequent.
     """
     rows = pages.select("page_id", F.col("url").cast("string").alias("target_uri"), F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary").alias("payload"))
     facts = rows.withColumns({"payload_length": F.length("payload").cast("bigint"), "_sha": F.sha2("payload", 256)})
-    several = (facts.where(F.col("payload_length") >= least).groupBy("_sha").agg(F.max("page_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
-               .where("_n > 1"))
-    joined = hot_join(facts, several, "_sha", "_n", F.xxhash64("page_id", "target_uri"))
+    several = materialise(facts.where(F.col("payload_length") >= least).groupBy("_sha").agg(
+        F.max("page_id").alias("_first"), F.count(F.lit(1)).alias("_n")).where("_n > 1"), "warc-several")
+    if several.limit(most_groups + 1).count() <= most_groups:
+        joined = facts.join(F.broadcast(several), "_sha", "left")
+    else:
+        joined = hot_join(facts, several, "_sha", "_n", F.xxhash64("page_id", "target_uri"))
     revisit = F.col("_first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("_first"))
 
     def name(column: str):

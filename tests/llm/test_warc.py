@@ -24,7 +24,7 @@ def expected(rows):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("options", [{}, {"gzip": "true", "maxFileBytes": "2000"}])
+@pytest.mark.parametrize("options", [{}, {"gzip": "true", "maxFileBytes": "2000", "most_groups": 0}])
 def test_round_trip(spark, clashing, tmp_path, options):
     pages = clashing(spark.createDataFrame(ROWS, PAGES)).repartition(3)
     path = str(tmp_path / "archive")
