@@ -50,8 +50,8 @@ def summary(spark, d):
         q.Check("orders_key_unique", q.unique(orders, "o_orderkey"), "error"),
         q.Check("orders_customer_known", q.relationships(orders, "o_custkey", customer.where("c_custkey % 2 = 0"), "c_custkey"), "error"),
         q.Check("line_combination_unique", q.unique_combination_of_columns(lineitem, ["l_orderkey", "l_linenumber"])),
-        q.Check("quantity_in_range", q.accepted_range(lineitem, "l_quantity", 1, 50)),
-        q.Check("few_large_quantities", q.accepted_range(lineitem, "l_quantity", max_value=49), "error", "> 0", "> 1000000000"),
+        q.RowCheck("quantity_in_range", lineitem, q.outside("l_quantity", 1, 50)),
+        q.RowCheck("few_large_quantities", lineitem, q.outside("l_quantity", max_value=49), "error", "> 0", "> 1000000000"),
         q.Check("same_orders", q.equal_rowcount(orders_of(spark, d, "F", "O"), orders_of(spark, d, "F"), ["o_orderpriority"]),
                 "error", failures=q.FAIL_CALCULATIONS["equal_rowcount"]),
         q.Check("events_recent", q.recency(events, "ts", "day", 1, as_of=AS_OF), "error"),

@@ -6,6 +6,10 @@ plays the paid-services sector), amounts = order totals as text.
 
 from __future__ import annotations
 
+import uuid
+from dataclasses import replace
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +17,7 @@ from stratavault.catalog.base import LOAD_1, LOAD_2, Query, portable, table
 from stratavault.functions.keys import hash_key
 from stratavault.operators import vault as v
 from stratavault.plans import revenue as r
+from stratavault.session import materialise
 
 SRC = r.REVENUE_SOURCE
 
@@ -157,6 +162,42 @@ def report_dim(spark, d):
     return layers(spark, d)["report"]["medical_center"]
 
 
+def duplicate_stage(spark, d) -> r.Stage:
+    """Directories that list every name twice, with other attributes."""
+    full = full_stage(spark, d)
+
+    def twice(df: DataFrame) -> DataFrame:
+        return df.withColumn("note", F.explode(F.array(F.lit("a"), F.lit("b"), F.lit(None).cast("string"))))
+    return r.Stage(full.revenue, twice(full.roads), twice(full.centers), twice(full.channels), {n: twice(df) for n, df in full.directories.items()})
+
+
+def bdv_duplicate_directory(spark, d):
+    return portable(r.business_revenue(r.raw_vault(duplicate_stage(spark, d), LOAD_1)))
+
+
+LOADED = ("hub_revenue", "sat_revenue", "hub_road", "sat_road", "link_road")
+
+
+def loaded(spark, d, reload: bool) -> DataFrame:
+    """Two deliveries into stored tables: orders before 1998 with all roads, then those since 1997 with all roads but one.
+    ``reload`` loads the second one again, and starts the road satellite anew from it. Rows by table and load."""
+    database = f"warehouse_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database}")
+    full = full_stage(spark, d)
+    first = replace(full, revenue=full.revenue.where(f"`{r.YEAR}` < '1998'"))
+    second = replace(full, revenue=full.revenue.where(f"`{r.YEAR}` >= '1997'"), roads=full.roads.where("id <> '0'"))
+    r.load(first, LOAD_1, database, LOADED)
+    r.load(second, LOAD_2, database, LOADED)
+    if reload:
+        r.load(second, LOAD_2, database, LOADED)
+        r.load(second, LOAD_2, database, ["sat_road"], full_refresh=True)
+    parts = [spark.table(f"{database}.{n}").groupBy("load_date").agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct(spark.table(f"{database}.{n}").columns[0]).alias("n_keys"))
+             .withColumn("table_name", F.lit(n)) for n in LOADED]
+    counted = materialise(reduce(DataFrame.unionByName, parts), "loaded")
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+    return counted
+
+
 # ---------------------------------------------------------------- expected rows
 
 STG = f"""
@@ -227,7 +268,30 @@ hist AS (
   SELECT md5(s_name), TIMESTAMP '{LOAD_2}', s_name, s_nationkey, CAST(CAST(s_acctbal + 1 AS DECIMAL(15,2)) AS DOUBLE), 'directory'
   FROM supplier WHERE s_suppkey % 3 <> 0)"""
 
+LOADS = f"""{STG},
+one AS (SELECT * FROM stk WHERE y < '1998'), two AS (SELECT * FROM stk WHERE y >= '1997'),
+roads AS (SELECT r_name, r_regionkey <> 0 AS again FROM region),
+hub_revenue AS (SELECT revenue_hk AS k, CASE WHEN revenue_hk IN (SELECT revenue_hk FROM two) THEN TIMESTAMP '{LOAD_2}' ELSE TIMESTAMP '{LOAD_1}' END AS load_date
+  FROM (SELECT DISTINCT revenue_hk FROM stk)),
+sat_revenue AS (SELECT revenue_hk AS k, TIMESTAMP '{LOAD_1}' AS load_date FROM one UNION ALL SELECT revenue_hk, TIMESTAMP '{LOAD_2}' FROM two),
+hub_road AS (SELECT r_name AS k, CASE WHEN again THEN TIMESTAMP '{LOAD_2}' ELSE TIMESTAMP '{LOAD_1}' END AS load_date FROM roads),
+sat_road AS (SELECT r_name AS k, TIMESTAMP '{LOAD_1}' AS load_date FROM roads UNION ALL SELECT r_name, TIMESTAMP '{LOAD_2}' FROM roads WHERE again),
+pairs AS (SELECT DISTINCT road || revenue_hk AS k, TIMESTAMP '{LOAD_1}' AS load_date FROM one
+  UNION ALL SELECT DISTINCT road || revenue_hk, TIMESTAMP '{LOAD_2}' FROM two WHERE road IN (SELECT r_name FROM roads WHERE again)),
+link_road AS (SELECT k, max(load_date) AS load_date FROM pairs GROUP BY k)"""
+
+
+def _loaded_sql(refreshed: bool) -> str:
+    kept = f" WHERE load_date = TIMESTAMP '{LOAD_2}'" if refreshed else ""
+    return f"WITH {LOADS} " + " UNION ALL ".join(
+        f"SELECT load_date, count(*) AS n_rows, count(DISTINCT k) AS n_keys, '{n}' AS table_name FROM {n}{kept if n == 'sat_road' else ''} GROUP BY load_date"
+        for n in LOADED)
+
+
 QUERIES = {
+    "bdv_duplicate_directory": Query(bdv_duplicate_directory, f"WITH {BUSINESS} SELECT * REPLACE (CAST(value AS DOUBLE) AS value) FROM bdv"),
+    "vault_two_loads": Query(lambda s, d: loaded(s, d, reload=False), _loaded_sql(refreshed=False)),
+    "vault_reload": Query(lambda s, d: loaded(s, d, reload=True), _loaded_sql(refreshed=True)),
     "hub_distinct": Query(hub_distinct, f"""SELECT DISTINCT md5(n_name) AS center_hk, n_name AS center,
 TIMESTAMP '{LOAD_1}' AS load_date, 'directory' AS source_system FROM nation"""),
     "hub_grouped": Query(hub_grouped, f"SELECT md5(c_mktsegment) AS sector_hk, c_mktsegment AS shortname, {AUDIT} FROM customer GROUP BY c_mktsegment"),

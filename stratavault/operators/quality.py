@@ -55,13 +55,7 @@ def relationships(df: DataFrame, column: str, to: DataFrame, field: str) -> Data
 def accepted_range(df: DataFrame, column: ColumnLike, min_value: object = None, max_value: object = None,
                    inclusive: bool = True) -> DataFrame:
     """Rows outside the range; nulls pass."""
-    c = _column(column)
-    broken = []
-    if min_value is not None:
-        broken.append(c < F.lit(min_value) if inclusive else c <= F.lit(min_value))
-    if max_value is not None:
-        broken.append(c > F.lit(max_value) if inclusive else c >= F.lit(max_value))
-    return df.where(reduce(lambda a, b: a | b, broken) if broken else F.lit(False))
+    return df.where(outside(column, min_value, max_value, inclusive))
 
 
 def not_accepted_values(df: DataFrame, column: str, values: Sequence[object]) -> DataFrame:
@@ -257,6 +251,29 @@ class Check:
     failures: str = "count(1)"  # aggregate over the violations
 
 
+@dataclass(frozen=True)
+class RowCheck:
+    """A check of single rows: ``violated`` is true for those that fail. Checks of one ``table`` share a scan."""
+
+    name: str
+    table: DataFrame
+    violated: Column
+    severity: str = "warn"
+    warn_if: str = "!= 0"
+    error_if: str = "!= 0"
+
+
+def outside(column: ColumnLike, min_value: object = None, max_value: object = None, inclusive: bool = True) -> Column:
+    """Condition of a value outside the range; unknown for null."""
+    c = _column(column)
+    broken = []
+    if min_value is not None:
+        broken.append(c < F.lit(min_value) if inclusive else c <= F.lit(min_value))
+    if max_value is not None:
+        broken.append(c > F.lit(max_value) if inclusive else c >= F.lit(max_value))
+    return reduce(lambda a, b: a | b, broken) if broken else F.lit(False)
+
+
 FAIL_CALCULATIONS: Mapping[str, str] = {
     "equal_rowcount": "sum(coalesce(diff_count, 0))",
     "fewer_rows_than": "sum(coalesce(row_count_delta, 0))",
@@ -264,12 +281,27 @@ FAIL_CALCULATIONS: Mapping[str, str] = {
 }
 
 
-def summary(checks: Sequence[Check]) -> DataFrame:
-    """One row per check: failures, severity and status (``pass``, ``warn`` or ``error``)."""
+def _status(c: Check | RowCheck) -> Column:
+    status = F.when(F.expr(f"failures {c.warn_if}"), "warn").otherwise("pass")
+    return F.when(F.expr(f"failures {c.error_if}"), "error").otherwise(status) if c.severity == "error" else status
+
+
+def summary(checks: Sequence[Check | RowCheck]) -> DataFrame:
+    """One row per check: failures, severity and status (``pass``, ``warn`` or ``error``). All row checks of one table are
+    counted in one pass over it."""
     def line(c: Check) -> DataFrame:
         counted = c.violations.agg(F.expr(f"cast(coalesce({c.failures}, 0) as bigint)").alias("failures"))
-        status = F.when(F.expr(f"failures {c.warn_if}"), "warn").otherwise("pass")
-        if c.severity == "error":
-            status = F.when(F.expr(f"failures {c.error_if}"), "error").otherwise(status)
-        return counted.select(F.lit(c.name).alias("test"), "failures", F.lit(c.severity).alias("severity"), status.alias("status"))
-    return reduce(DataFrame.unionAll, [line(c) for c in checks])
+        return counted.select(F.lit(c.name).alias("test"), "failures", F.lit(c.severity).alias("severity"), _status(c).alias("status"))
+
+    def lines(own: Sequence[RowCheck]) -> DataFrame:
+        counts = own[0].table.agg(*[F.count_if(c.violated).alias(f"n{i}") for i, c in enumerate(own)])
+        entries = [F.struct(F.lit(c.name).alias("test"), F.col(f"n{i}").alias("failures"), F.lit(c.severity).alias("severity"), F.lit(i).alias("place"))
+                   for i, c in enumerate(own)]
+        status = reduce(lambda rest, i: F.when(F.col("place") == i, _status(own[i])).otherwise(rest), range(len(own)), F.lit(None).cast("string"))
+        return counts.select(F.inline(F.array(*entries))).select("test", "failures", "severity", status.alias("status"))
+
+    by_table: dict[int, list[RowCheck]] = {}
+    for c in checks:
+        if isinstance(c, RowCheck):
+            by_table.setdefault(id(c.table), []).append(c)
+    return reduce(DataFrame.unionAll, [line(c) for c in checks if isinstance(c, Check)] + [lines(own) for own in by_table.values()])

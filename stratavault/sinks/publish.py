@@ -70,8 +70,9 @@ def copy_files(df: DataFrame, folder: str, name: str) -> None:
 
 
 def published(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """The tables that a folder holds."""
-    return {n: spark.read.parquet(f"{folder.rstrip('/')}/{n}") for n in list_folder(spark, folder) if not n.startswith(("_", "."))}
+    """The tables that a folder holds in full; what a failed copy has left is none."""
+    root = folder.rstrip("/")
+    return {n: spark.read.parquet(f"{root}/{n}") for n in list_folder(spark, root) if "_SUCCESS" in list_folder(spark, f"{root}/{n}")}
 
 
 def publish_files(spark: SparkSession, tables: Mapping[str, DataFrame], folder: str, drop_stale: bool = True) -> list[dict[str, object]]:

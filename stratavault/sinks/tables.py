@@ -108,7 +108,13 @@ def upsert_buckets(df: DataFrame, name: str, keys: Sequence[str], order_by: Sequ
 def _replace_partitions(df: DataFrame, name: str) -> None:
     """Write ``df`` over the partitions of the table that it has rows for; the others stay."""
     spark = df.sparkSession
-    df.select(*spark.table(name).columns).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(name)
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        df.select(*spark.table(name).columns).write.insertInto(name, overwrite=True)
+    finally:
+        spark.conf.set(mode, before)
 
 
 def append_history(df: DataFrame, name: str, full_refresh: bool = False) -> None:

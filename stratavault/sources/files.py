@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,15 +28,18 @@ def describe(objects: DataFrame) -> DataFrame:
 
 
 def list_objects(spark: SparkSession, root: str, buckets: Sequence[str], pattern: str = "*") -> DataFrame:
-    """Listing of the files in the bucket folders below ``root``; file contents are not read."""
+    """Listing of the files in the bucket folders below ``root``, with all folders below a bucket in the key; file contents
+    are not read."""
     paths = [f"{root.rstrip('/')}/{b}" for b in buckets]
     found = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern)
              .load(paths).select("path", "modificationTime", "length"))
-    location = F.substring_index("path", "/", -1)
-    bucket = F.lit(None).cast("string")
+    bucket, key = F.lit(None).cast("string"), F.lit(None).cast("string")
     for name in buckets:
-        bucket = F.when(F.contains("path", F.lit(f"/{name}/")), name).otherwise(bucket)
-    return describe(found.select(bucket.alias("bucket"), location.alias("key"),
+        folder = re.sub(r"^[a-zA-Z0-9+.-]+:/*", "/", f"{root.rstrip('/')}/{name}/")
+        at = F.locate(folder, F.col("path"))
+        bucket = F.when(at > 0, name).otherwise(bucket)
+        key = F.when(at > 0, F.substr("path", at + len(folder))).otherwise(key)
+    return describe(found.select(bucket.alias("bucket"), key.alias("key"),
                                  F.col("modificationTime").cast("timestamp_ntz").alias("last_modified"),
                                  F.col("length").alias("size")))
 

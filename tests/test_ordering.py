@@ -107,9 +107,16 @@ def test_common_prefixes_are_spread(spark):
     assert len(sizes) == 16 and max(r["count"] for r in sizes) < 1500
 
 
-def test_slices_are_checked(spark):
+def test_slices_are_free(spark):
     with pytest.raises(ValueError):
-        o.with_slices(spark.range(3), ["id"], slices=1000)
+        o.with_slices(spark.range(3), ["id"], slices=1)
+    sizes = [r["count"] for r in o.with_slices(spark.range(20_000), ["id"], slices=1000).groupBy("_slice").count().collect()]
+    assert len(sizes) > 950 and max(sizes) < 100
+
+
+def test_very_many_copies_need_no_long_array(spark):
+    frame = spark.sql("SELECT 'x' AS v, CAST(250000000 AS BIGINT) AS _copies")
+    assert o.expand_copies(frame).count() == 250_000_000
 
 
 def test_empty_input(spark):

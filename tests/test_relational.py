@@ -77,10 +77,16 @@ def test_values_and_cells(frame):
     assert values(rel.single_value(df.orderBy("field").where("field is not null"))) == ["a"]
     assert values(rel.single_value(df.where("field = 'zz'"), "none")) == ["none"]
     assert values(rel.single_value(df.where("field is null"), "none")) == [None]
-    packed = rel.results_as_columns(df.where("field <> 'a'")).first()
-    assert packed["field"] == ["b", "b", "c", "c"]
-    with pytest.raises(Exception, match="more than 3 rows"):
-        rel.results_as_columns(df, max_rows=3).collect()
+    assert set(rel.column_value_list(df.where("field is not null"), "field")) == {"a", "b", "c"}
+    cells = rows(rel.results_as_columns(df.where("field <> 'a'")).select("position", "column_name", "value"))
+    assert cells == [(1, "field", "b"), (2, "field", "b"), (3, "field", "c"), (4, "field", "c")]
+
+
+def test_results_of_any_length(spark):
+    many = spark.range(12_345).selectExpr("id % 7 AS a", "IF(id % 5 = 0, null, cast(id as string)) AS b")
+    cells = rel.results_as_columns(many)
+    assert cells.count() == 24_690 and values(cells.where("column_name = 'a'").select("position"))[-1] == 9999
+    assert cells.where("column_name = 'a' AND position = 1").first()["value"] == "0"
 
 
 def test_series_and_spine(spark):

@@ -108,6 +108,10 @@ def test_listing(spark, tmp_path):
     assert rows(listing.select("bucket", "key", "file_name", "user_name", "guid", "table_name", "size")) == [
         ("one", f"my file.v1_--_ivan_--_{GUID}.xlsx", "my file.v1.xlsx", "ivan", GUID, "my_file_v1_xlsx", 5),
         ("two", "plain+50% name.csv", "plain+50% name.csv", "unknown", "unknown", "plain+50%_name_csv", 1)]
+    (tmp_path / "one" / "two").mkdir()
+    (tmp_path / "one" / "two" / "plain.csv").write_bytes(b"12")
+    nested = fi.list_objects(spark, f"file://{tmp_path}", ["one", "two"], "plain.csv")
+    assert rows(nested.select("bucket", "key", "size")) == [("one", "two/plain.csv", 2)]
     plan = listing._jdf.queryExecution().executedPlan().toString()
     assert "content" not in plan
     assert bytes(fi.read_object(spark, str(tmp_path / "two" / "plain+50% name.csv")).first()["content"]) == b"1"
@@ -152,7 +156,7 @@ def test_table_writes(spark, schema, frame):
     sink.rebuild(spark.table(name).unionByName(frame("(2,'b')", "k", "v")), name)  # reads what it replaces
     assert rows(spark.table(name)) == [(1, "a"), (2, "b")]
     assert sink.append(frame("('c',3), ('d',4)", "v", "k"), name) == 2
-    sink.upsert(frame("(3,'z'), (5,'e')", "k", "v"), name, ["k"], [F.desc("v")])
+    sink.upsert(frame("(3,'z'), (5,'e')", "k", "v"), name, ["k"], [F.desc("v")])  # the last write wins
     assert rows(spark.table(name)) == [(1, "a"), (2, "b"), (3, "z"), (4, "d"), (5, "e")]
     sink.truncate(spark, name)
     assert spark.table(name).count() == 0
@@ -175,6 +179,34 @@ def test_history(spark, schema):
     assert spark.table(name).count() == 2
 
 
+def test_a_load_that_comes_again_replaces_itself(spark, schema):
+    def load(ts, n):
+        return spark.range(n).select("id", F.lit(ts).cast("timestamp_ntz").alias("load_date"))
+    name = f"{schema}.again"
+    for ts, n in (("2024-01-01 00:00:00", 3), ("2024-02-01 00:00:00", 4), ("2024-02-01 00:00:00", 4), ("2024-01-01 00:00:00", 2)):
+        sink.append_history(load(ts, n), name)
+    assert rows(spark.table(name).groupBy("load_date").count().select("count")) == [(2,), (4,)]
+
+
+def test_keyed_table_in_buckets(spark, schema, frame):
+    name = f"{schema}.keyed"
+    sink.upsert_buckets(frame("(1,'a'), (2,'b'), (2,'c'), (3,'d')", "k", "v"), name, ["k"], buckets=4)
+    before = {f.rsplit("/", 2)[1]: f for f in spark.table(name).inputFiles()}
+    sink.upsert_buckets(frame("(2,'z'), (2,'y')", "k", "v"), name, ["k"], buckets=4)
+    assert rows(spark.table(name).select("k", "v")) == [(1, "a"), (2, "y"), (3, "d")]
+    after = {f.rsplit("/", 2)[1]: f for f in spark.table(name).inputFiles()}
+    assert sum(before[b] != after[b] for b in before) == 1  # the bucket of key 2 alone is written again
+
+
+def test_scratch_is_released(spark, tmp_path):
+    from stratavault import session
+    session.release(spark)
+    stored = session.materialise(spark.range(3), "scratch")
+    path = stored.inputFiles()[0].rsplit("/", 1)[0]
+    assert stored.count() == 3 and session.release(spark) == 1
+    assert not session.list_folder(spark, path) and session.release(spark) == 0
+
+
 def test_layer_names():
     assert sink.layer_table("rdv", "hub_road") == "main_rdv.hub_road"
     assert sink.layer_table("report", "road_dim", "view") == "main_report.v_road_dim"
@@ -221,5 +253,11 @@ def test_publish(spark, tmp_path, frame):
     assert outcome["a"] == outcome["b"] == "success" and outcome["bad"].startswith("error")
     copied = {n: spark.read.parquet(str(tmp_path / n)) for n in tables}
     assert rows(pb.row_counts(copied)) == rows(pb.row_counts(tables)) == [("a", 3), ("b", 5)]
+    folder = str(tmp_path / "published")
+    first = pb.publish_files(spark, tables, folder)
+    assert [(e["table_name"], e["status"], e["source_rows"], e["target_rows"]) for e in first] == [("a", "success", 3, 3), ("b", "success", 5, 5)]
+    second = pb.publish_files(spark, {"b": spark.range(4), "c": spark.range(2).select(F.raise_error(F.lit("no")).alias("x"))}, folder)
+    assert [(e["table_name"], e["status"][:7], e["target_rows"]) for e in second] == [("b", "success", 4), ("c", "error: ", None), ("a", "dropped", None)]
+    assert "a" not in pb.published(spark, folder) and pb.published(spark, folder)["b"].count() == 4
     source, target = frame("('a'), ('b')", "n"), frame("('b'), ('z'), ('c')", "n")
     assert [r[0] for r in pb.stale_tables(source, target).collect()] == ["c", "z"]

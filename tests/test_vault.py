@@ -120,22 +120,29 @@ def test_upsert(frame):
     assert rows(v.upsert_by_key(now, new, ["k"], [F.desc("t")])) == [(1, "a", 1), (2, "c", 2), (3, "e", 3)]
 
 
-def test_hot_name_is_split_in_the_join(spark):
-    """Without broadcast, adaptive execution splits the partition of a name that holds most pairs."""
-    changed = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-               "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-               "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+def test_hot_name_is_spread_without_settings(spark):
+    """No broadcast and no adaptive execution: the salted semi-join still deals out a name that holds most pairs."""
+    changed = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "64"}
     before = {k: spark.conf.get(k, None) for k in changed}
     for k, value in changed.items():
         spark.conf.set(k, value)
     try:
-        data = spark.range(0, 20_000, 1, 8).selectExpr(
-            "CASE WHEN id % 4 < 3 THEN 'hot' ELSE concat('n', id % 500) END AS name", "cast(id as string) AS bk").repartition(8)
-        left = v.hub(data, "left_hk", ["name"], {"name": "name"}, L1, "s")
-        right = v.hub(data, "right_hk", ["bk"], {"bk": "bk"}, L1, "s")
-        link = v.link_by_name(data, left, "left_hk", "name", F.col("name"), right, "right_hk", ["bk"], "link_hk", L1, "s")
-        assert len(link.collect()) == 20_000
-        assert "skew=true" in plan(link) or "skewed" in plan(link)
+        pairs = spark.range(20_000).selectExpr("CASE WHEN id % 4 < 3 THEN 'hot' ELSE concat('n', id % 500) END AS hk", "cast(id as string) AS other")
+        kept = v.known_keys(pairs, spark.range(250).selectExpr("concat('n', id) AS hk").union(spark.sql("SELECT 'hot'")), "hk", "other")
+        sizes = [r["count"] for r in kept.withColumn("p", F.spark_partition_id()).groupBy("p").count().collect()]
+        assert sum(sizes) == kept.count() == 20_000 - pairs.where("try_cast(substr(hk, 2) AS int) >= 250").count()
+        assert max(sizes) < 20_000 / 5
     finally:
         for k, value in before.items():
             spark.conf.unset(k) if value is None else spark.conf.set(k, value)
+
+
+def test_one_satellite_row_per_key(spark):
+    rows_ = spark.createDataFrame([("x", 2, "b"), ("x", 1, "z"), ("x", None, "q"), ("y", 1, None)], "name string, a int, b string")
+    sat = v.satellite(rows_, "hk", ["name"], {"name": "name", "a": "a", "b": "b"}, L1, "s")
+    assert rows(sat.select("name", "a", "b")) == sorted([("x", None, "q"), ("y", 1, None)], key=repr)
+
+
+def test_last_write_wins(frame):
+    now, late = frame("(1,'a',9), (2,'b',1)", "k", "v", "day"), frame("(1,'c',3), (1,'d',4)", "k", "v", "day")
+    assert rows(v.upsert_by_key(now, late, ["k"], [F.desc("day")])) == [(1, "d", 4), (2, "b", 1)]
