@@ -14,7 +14,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratavault.llm.base import repeated, salted_join, whole, words
+from stratavault.llm.base import by_size, repeated, salted_join, whole, words
 from stratavault.operators.ordering import numbered
 from stratavault.session import materialise
 
@@ -151,4 +151,4 @@ def take(documents: DataFrame, text: str = "text", **options) -> DataFrame:
         F.col("doc_id").alias("_d"), F.col("source").alias("_s"), F.col("_mark").alias("_m"), F.col("copies").alias("_copies"))
     kept = [c for c in documents.columns if c != "copies"]
     on = (F.col("doc_id").eqNullSafe(F.col("_d")) & F.col("source").eqNullSafe(F.col("_s")) & (F.xxhash64(text) == F.col("_m")))
-    return documents.join(decided, on).select(*kept, F.col("_copies").alias("copies"))
+    return documents.join(by_size(materialise(decided, "mix-decided")), on).select(*kept, F.col("_copies").alias("copies"))
