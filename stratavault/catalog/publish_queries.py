@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import uuid
-
 from stratavault.catalog.base import Query, table
-from stratavault.session import shared_dir
+from stratavault.session import scratch_path
 from stratavault.sinks import publish as pb
 from stratavault.sources.tables import column_list, relations_by_pattern
 
@@ -36,13 +34,9 @@ def pattern_counts(spark, d):
     return pb.row_counts({n.removeprefix("stratavault_all_"): spark.table(n) for n in found})
 
 
-def _folder(spark) -> str:
-    return f"{shared_dir(spark)}/published-{uuid.uuid4().hex}"
-
-
 def publish_counts(spark, d):
     """Rows of the published copies, and of what was sent."""
-    folder = _folder(spark)
+    folder = scratch_path(spark, "published")
     sent = pb.publish_files(spark, tables(spark, d), folder)
     counted = pb.row_counts(pb.published(spark, folder))
     reported = spark.createDataFrame([(r["table_name"], r["status"], r["source_rows"]) for r in sent], "table_name string, status string, source_rows bigint")
@@ -52,7 +46,7 @@ def publish_counts(spark, d):
 def catalog_diff(spark, d):
     """A folder that holds all tables, published again from a source that has only the names in ``s``: the tables that go,
     and the rows of those that stay."""
-    folder, every = _folder(spark), tables(spark, d)
+    folder, every = scratch_path(spark, "published"), tables(spark, d)
     pb.publish_files(spark, every, folder)
     report = pb.publish_files(spark, {n: df for n, df in every.items() if n.endswith("s")}, folder)
     names = spark.createDataFrame([(r["table_name"], r["status"]) for r in report], "table_name string, status string")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -41,6 +43,7 @@ def shared_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {SHARED_DIR_KEY} to a folder shared by all executors")
     made = tempfile.mkdtemp(prefix="stratavault-")
+    atexit.register(shutil.rmtree, made, ignore_errors=True)
     spark.conf.set(SHARED_DIR_KEY, made)
     return made
 
@@ -61,6 +64,13 @@ def list_folder(spark: SparkSession, path: str) -> list[str]:
     return sorted(f.getPath().getName() for f in store.listStatus(place)) if store.exists(place) else []
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, to be deleted by :func:`release`."""
+    path = os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    _STORED.append(path)
+    return path
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once into the shared folder and read it back, so that later plans start from files.
 
@@ -68,9 +78,8 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     the whole lineage. :func:`release` deletes what was stored, once the results built on it have been used.
     """
     spark = df.sparkSession
-    path = os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    path = scratch_path(spark, name)
     df.write.mode("errorifexists").parquet(path)
-    _STORED.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
