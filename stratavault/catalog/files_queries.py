@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from stratavault.catalog.base import Query, table
 from stratavault.functions.parsing import file_name_parts, is_workbook_name, table_name
+from stratavault.session import list_folder, scratch_path
 from stratavault.sources import files as fi
 
 
@@ -58,6 +59,17 @@ def file_parse(spark, d):
     return named.withColumn("table_name", table_name("file_name")).withColumn("is_workbook", is_workbook_name("file_name"))
 
 
+def stored_listing(spark, d):
+    """Documents stored as one file per language in nested folders: what the listing finds, and the rows it leads to."""
+    root = scratch_path(spark, "objects")
+    docs = table(spark, d, "documents").withColumns({"store": F.concat(F.lit("b"), F.length("lang") % 2), "language": F.col("lang")})
+    docs.repartition(1).write.partitionBy("store", "language").parquet(root)
+    buckets = [n for n in list_folder(spark, root) if n.startswith("store=")]
+    listed = fi.list_objects(spark, root, buckets, "*.parquet").where("size > 0").select("bucket", F.substring_index("key", "/", 1).alias("folder"))
+    rows = spark.read.parquet(root).groupBy(F.concat(F.lit("language="), F.col("language")).alias("folder")).agg(F.count(F.lit(1)).alias("n_rows"))
+    return listed.groupBy("bucket", "folder").agg(F.count(F.lit(1)).alias("n_files")).join(rows, "folder")
+
+
 OBJECTS = """objects AS (SELECT page_id, 'bucket' || (page_id % 3) AS bucket, page_id % 8 <> 7 AS good,
   CASE WHEN page_id % 9 = 0 THEN 'csv' WHEN page_id % 9 = 1 THEN 'xls' ELSE 'xlsx' END AS ext, 'user' || (page_id % 7) AS usr,
   substr(md5(url), 1, 8) || '-' || substr(md5(url), 9, 4) || '-' || substr(md5(url), 13, 4) || '-' || substr(md5(url), 17, 4) || '-' || substr(md5(url), 21, 12) AS gd,
@@ -72,6 +84,8 @@ older AS (SELECT * REPLACE ('old ' || key AS key, last_modified - INTERVAL 1 DAY
 gone AS (SELECT * REPLACE ('gone ' || file_name AS file_name) FROM listing WHERE page_id % 10 = 3)"""
 
 QUERIES = {
+    "file_listing_store": Query(stored_listing, """SELECT 'store=b' || (length(lang) % 2) AS bucket, 'language=' || lang AS folder, CAST(1 AS BIGINT) AS n_files,
+count(*) AS n_rows FROM documents GROUP BY lang"""),
     "file_listing": Query(lambda s, d: fi.describe(objects(s, d)), f"WITH {OBJECTS} SELECT * EXCLUDE (page_id) FROM listing"),
     "file_parse": Query(file_parse, f"""WITH {OBJECTS} SELECT page_id, file_name, user_name, guid, table_name,
 lower(file_name) LIKE '%.xls' OR lower(file_name) LIKE '%.xlsx' AS is_workbook FROM listing"""),
