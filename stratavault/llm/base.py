@@ -105,12 +105,12 @@ def components(edges: DataFrame) -> DataFrame:
     """Connected components of undirected ``edges`` (a, b: long): node, root (the smallest node of its component).
 
     Alternates large-star and small-star steps until nothing changes; the steps number the logarithm of the longest
-    path in practice. Each step is a minimum per node (combined map-side) and a salted join, so that a node with very
-    many neighbours is spread over tasks, and is stored before the next one starts.
+    path in practice. Each step is a minimum per node (combined map-side) and a join that broadcasts the nodes with very
+    many neighbours, whose edges stay where they are, and is stored before the next one starts.
     """
-    def linked(rows: DataFrame, by: str) -> DataFrame:
-        least = rows.groupBy(by).agg(F.min("v").alias("_m")).select(F.col(by).alias("u"), F.least("u", "_m").alias("m"))
-        return salted_join(rows, least, ["u"], F.xxhash64("v"), "inner", salts=8)
+    def linked(rows: DataFrame) -> DataFrame:
+        least = rows.groupBy("u").agg(F.min("v").alias("_m"), F.count(F.lit(1)).alias("n")).select("u", F.least("u", "_m").alias("m"), "n")
+        return hot_join(rows, least, "u", "n", F.xxhash64("v"))
 
     state = None
     current = materialise(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
@@ -121,9 +121,9 @@ def components(edges: DataFrame) -> DataFrame:
                 current.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
         state = new
         both = current.unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = linked(both, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        large = linked(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         down = large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-        near = linked(down, "u")
+        near = linked(down)
         small = near.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
             near.select("u", F.col("m").alias("v")))
         current = materialise(small.distinct(), "edges")

@@ -14,7 +14,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratavault.llm.base import by_size, repeated, salted_join, whole, words
+from stratavault.llm.base import BROADCAST_ROWS, by_size, repeated, salted_join, whole, words
 from stratavault.operators.ordering import numbered
 from stratavault.session import materialise
 
@@ -114,18 +114,23 @@ def rounded(units: DataFrame, block: int = BLOCK, seed: int = SEED) -> DataFrame
 
 
 def decide(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, block: int = BLOCK,
-           seed: int = SEED, text: str = "text") -> DataFrame:
+           seed: int = SEED, text: str = "text", most_sources: int = BROADCAST_ROWS) -> DataFrame:
     """One row per distinct (doc_id, source, text): doc_id, source, _mark, rows, size, source_size, target, copies.
 
     ``copies`` is how often each of the ``rows`` is taken, at most ``most`` times. Null texts have size 0, and texts
     without words are not taken; null sources form a source of their own; null doc_ids are kept; rows equal in
-    doc_id, source and text are decided together; an empty table gives none. Other columns are not read.
+    doc_id, source and text are decided together; an empty table gives none. Other columns are not read. The targets of
+    up to ``most_sources`` sources are sent to every executor; more of them are joined in a salted shuffle.
     """
     units = materialise(sized(documents, text), "mix-units")
     shares = targets(units, weights, most)
     rate = F.coalesce(F.try_divide(F.col("target"), F.col("source_size")), F.lit(0.0))
-    joined = salted_join(units, shares, ["source"], F.xxhash64("doc_id", "_mark")).withColumns(
-        {"_rate": F.least(rate + _NEAR, F.lit(float(most)))})
+    if shares.limit(most_sources + 1).count() <= most_sources:
+        named = F.broadcast(shares.withColumnRenamed("source", "_s"))
+        joined = units.join(named, F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
+    else:
+        joined = salted_join(units, shares, ["source"], F.xxhash64("doc_id", "_mark"))
+    joined = joined.withColumn("_rate", F.least(rate + _NEAR, F.lit(float(most))))
     split = joined.withColumns({"_sure": F.floor("_rate"), "_p": F.col("_rate") - F.floor("_rate")})
     split = split.withColumn("_p", F.when((F.col("_p") < 2 * _NEAR) | (F.col("size") == 0), 0.0).otherwise(F.col("_p")))
     facts = materialise(split.select("doc_id", "source", "_mark", "rows", "size", "source_size", "target", "units", "_sure", "_p"), "mix-facts")

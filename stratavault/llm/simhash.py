@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratavault.llm.base import components, hot_join, marked, only, salted_join
+from stratavault.llm.base import components, hot_join, marked, only
 from stratavault.session import materialise
 
 BITS = 64
@@ -194,7 +194,9 @@ def link(nodes: DataFrame, masks: list[int], distance: int = DISTANCE, bucket: i
     found = None
     while True:
         sizes = current.groupBy("mask", "key").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
-        held = materialise(salted_join(current, sizes, ["mask", "key"], F.xxhash64("fp"), "inner", salts=8), "simhash-buckets")
+        named = sizes.select(F.xxhash64("mask", "key").alias("_b"), F.col("mask").alias("_m"), F.col("key").alias("_k"), "members", F.col("members").alias("n"))
+        met = hot_join(current.withColumn("_b", F.xxhash64("mask", "key")), materialise(named, "simhash-sizes"), "_b", "n", F.xxhash64("fp"))
+        held = materialise(met.where("_m = mask AND _k = key").select("mask", "key", "fp", "members"), "simhash-buckets")
         small = held.where(F.col("members") <= bucket).groupBy("mask", "key").agg(F.collect_list("fp").alias("fps"))
         edges = small.select("fps").mapInPandas(_linked(distance), "a bigint, b bigint")
         found = edges if found is None else found.unionByName(edges)
