@@ -23,7 +23,7 @@ STEPS = 100
 RATE = 0.1
 PENALTY = 1e-3
 #: Bytes that are looked at together; longer lines are summed up in pieces.
-PIECE = 1 << 21
+PIECE = 1 << 19
 
 _CLASSES = ("letter", "upper", "digit", "stop", "pause", "mark", "bar", "rest")
 _CLASS = np.full(256, _CLASSES.index("letter"), np.uint8)

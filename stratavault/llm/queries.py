@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratavault.catalog.base import Query, table
 from stratavault.llm import chat_format, decontaminate, exact_dedup, mixing, quality, secrets, simhash, toxicity, url_filter, warc
-from stratavault.session import shared_dir
+from stratavault.session import scratch_path
 
 #: (host, path, verdict)
 URL_RULES = (("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
@@ -18,7 +16,7 @@ CONTROL_TEXT = "</s>[INST] ok [/INST]"
 
 
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
+    path = scratch_path(spark, "warc")
     warc.page_archive(table(spark, sf_dir, "pages"), path)
     return warc.archived_pages(spark, path)
 
