@@ -53,11 +53,16 @@ def _writer(df: DataFrame, mode: str, max_records_per_file: int | None = None, p
 
 
 def rebuild(df: DataFrame, name: str, max_records_per_file: int | None = None) -> None:
-    """Replace the table. The new content is complete before the old table goes, so it may read from it."""
+    """Replace the table. The new content is complete before the old table goes, so it may read from it. A partitioned
+    table keeps its partitioning, and its name throughout; its columns must stay the same."""
     spark = df.sparkSession
     if not exists(spark, name):
         _writer(df, "errorifexists", max_records_per_file).saveAsTable(name)
         return
+    if any(c.isPartition for c in spark.catalog.listColumns(name)):
+        ready = materialise(df, name.replace(".", "_"))
+        ready.select(*spark.table(name).columns).write.insertInto(name, overwrite=True)
+        return
     fresh = f"{name}__next"
     drop_table(spark, fresh)
     _writer(df, "errorifexists", max_records_per_file).saveAsTable(fresh)

@@ -207,6 +207,14 @@ def test_scratch_is_released(spark, tmp_path):
     assert not session.list_folder(spark, path) and session.release(spark) == 0
 
 
+def test_rebuild_keeps_partitions(spark, schema, frame):
+    name = f"{schema}.parted"
+    frame("(1,'a'), (2,'b')", "k", "v").write.partitionBy("v").saveAsTable(name)
+    sink.rebuild(spark.table(name).where("v = 'b'").unionByName(frame("(3,'c')", "k", "v")), name)
+    assert rows(spark.table(name).select("k", "v")) == [(2, "b"), (3, "c")]
+    assert [c.name for c in spark.catalog.listColumns(name) if c.isPartition] == ["v"]
+
+
 def test_layer_names():
     assert sink.layer_table("rdv", "hub_road") == "main_rdv.hub_road"
     assert sink.layer_table("report", "road_dim", "view") == "main_report.v_road_dim"
