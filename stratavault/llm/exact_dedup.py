@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratavault.llm.base import by_size, hot_join, marked, only, salted_join
+from stratavault.llm.base import by_size, hot_join, marked, only, salted_join, small_batches
 from stratavault.session import materialise
 
 #: Two primes below 2**31 and a base for each.
@@ -99,7 +99,7 @@ def _combined(pieces: Column, primes: tuple[int, ...]) -> Column:
 
 def fingerprinted(documents: DataFrame, text: str = "text", chunk: int = CHUNK, primes: tuple[int, ...] = PRIMES) -> DataFrame:
     """doc_id, _mark, chars, sha256, key (of the normalised text), rows: one row per distinct (doc_id, text)."""
-    rows = marked(documents, text).select("doc_id", "_mark", F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
+    rows = marked(small_batches(documents), text).select("doc_id", "_mark", F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     rows = rows.withColumn("chars", F.length("text").cast("bigint"))
     short = (rows.where(F.col("chars") <= chunk)
              .select("doc_id", "_mark", "chars", _digest(F.col("text")).alias("sha256"), _prints(F.col("text"), primes).alias("_p"))

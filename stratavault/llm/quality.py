@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stratavault.llm.base import small_batches
+
 #: Bound of the training sample: labelled documents (those with the smallest hashes), and lines of one of them.
 TRAIN_DOCUMENTS = 3000
 TRAIN_LINES = 256
@@ -218,7 +220,7 @@ def train(documents: DataFrame, labels: DataFrame, text: str = "text", most: int
                     own, size, lines = line_features([found])
                     yield pd.DataFrame({"mark": [mark], "y": [y], "own": [own.ravel()], "size": [size], "lines": lines})
 
-    sample = documents.select("doc_id", F.xxhash64("doc_id", text).alias("_mark"), F.col(text).cast("string").alias("_t")).join(
+    sample = small_batches(documents).select("doc_id", F.xxhash64("doc_id", text).alias("_mark"), F.col(text).cast("string").alias("_t")).join(
         F.broadcast(named), F.col("doc_id") == F.col("_d")).select("_mark", "_y", "_t")
     rows = sample.mapInPandas(described, "mark bigint, y int, own array<double>, size array<double>, lines bigint").toPandas()
     if rows.empty:

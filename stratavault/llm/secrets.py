@@ -20,6 +20,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stratavault.llm.base import small_batches
+
 # The patterns, the least length of a finding, and the order of the kinds.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -212,7 +214,7 @@ def network(documents: DataFrame, text: str = "text", most: int = TRAIN_DOCUMENT
                     rows.append((mark, n, window(found, start, end), token_class(found[start:end]), int(covered.touches(start, end))))
             yield pd.DataFrame(rows, columns=["mark", "place", "window", "kind", "label"])
 
-    sample = documents.select("doc_id", F.xxhash64("doc_id", text).alias("_mark"), F.col(text).cast("string").alias("_t")).join(
+    sample = small_batches(documents).select("doc_id", F.xxhash64("doc_id", text).alias("_mark"), F.col(text).cast("string").alias("_t")).join(
         F.broadcast(named), F.col("doc_id") == F.col("_d")).select("_mark", "_t")
     rows = sample.mapInPandas(labelled, "mark bigint, place int, window binary, kind int, label int").toPandas().sort_values(["mark", "place"], kind="stable")
     made = generated()

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratavault.llm.base import components, hot_join, marked, only
+from stratavault.llm.base import components, hot_join, marked, only, small_batches
 from stratavault.session import materialise
 
 BITS = 64
@@ -219,7 +219,7 @@ def clusters(documents: DataFrame, shingle: int = SHINGLE, distance: int = DISTA
     the smallest (doc_id, hash of the text), null doc_ids last. Rows that repeat are returned as often as they come; an
     empty table gives none; other columns are not read.
     """
-    rows = marked(documents, text).select("doc_id", "_mark", fingerprints(F.col(text).cast("string"), shingle).alias("fp"))
+    rows = marked(small_batches(documents), text).select("doc_id", "_mark", fingerprints(F.col(text).cast("string"), shingle).alias("fp"))
     marks = materialise(rows, "simhash-marks")
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "_mark")
     nodes = materialise(marks.groupBy("fp").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("rows")), "simhash-nodes")
