@@ -85,7 +85,7 @@ def hot_join(left: DataFrame, right: DataFrame, key: str, rows: str, spread: Col
 def small_batches(documents: DataFrame, most: int = 16 << 20) -> DataFrame:
     """``documents``, after a limit on the bytes that go to Python at once (a lower one of the session stays)."""
     name, conf = "spark.sql.execution.arrow.maxBytesPerBatch", documents.sparkSession.conf
-    size = conf.get(name, "").rstrip("b")
+    size = conf.get(name).rstrip("b")
     if not size.isdigit() or int(size) > most:
         conf.set(name, f"{most}b")
     return documents
