@@ -7,8 +7,8 @@ import pytest
 
 import corpus_pipeline
 from stratavault.llm import mixing, quality
-from tests.llm.test_decontaminate import brute
-from tests.llm.test_simhash import plain_components, plain_fingerprint
+from .test_decontaminate import brute
+from .test_simhash import plain_components, plain_fingerprint
 
 DATA = "/root/testdata/sf0.001"
 
