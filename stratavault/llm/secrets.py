@@ -39,6 +39,10 @@ GENERATED = 1500
 RECALL = 0.95
 BEFORE, HEAD, TAIL, AFTER = 32, 40, 8, 16
 WINDOW = BEFORE + HEAD + TAIL + AFTER
+#: Longer candidates are read in pieces of HEAD + TAIL characters, STRIDE apart, so 40 characters in a row meet in one piece.
+STRIDE = 8
+#: Windows of one token of the training sample; of a longer token, those at its finding or evenly spread ones.
+TRAIN_WINDOWS = 16
 EMBED, WIDTH, FILTERS = 8, 5, 24
 EPOCHS, BATCH, RATE = 6, 128, 0.01
 
@@ -75,9 +79,25 @@ def window(text: str, start: int, end: int) -> bytes:
     return "".join(parts).encode("ascii", "replace").replace(b"?", b"\x01")
 
 
+def pieces(start: int, end: int) -> Iterator[tuple[int, int]]:
+    """Overlapping pieces over the whole of a candidate; a short one is its only piece."""
+    last = max(start, end - HEAD - TAIL)
+    for at in range(start, last, STRIDE):
+        yield at, at + HEAD + TAIL
+    yield last, end
+
+
+def sampled_pieces(start: int, end: int, covered: Covered) -> list[tuple[int, int]]:
+    """At most TRAIN_WINDOWS of the pieces of a candidate: those that touch a finding, if there are any, evenly spread."""
+    every = list(pieces(start, end))
+    told = [p for p in every if covered.touches(*p)] or every
+    return [told[i] for i in np.unique(np.linspace(0, len(told) - 1, min(len(told), TRAIN_WINDOWS)).astype(int))]
+
+
 @dataclass
 class Network:
-    """Embedding, one convolution, maxima over the places before, in and after the candidate, one linear layer."""
+    """Embedding, one convolution, maxima over the places before, in and after the candidate, one linear layer. A candidate
+    of several windows has the highest of their scores."""
     embed: np.ndarray
     kernel: np.ndarray
     bias: np.ndarray
@@ -109,21 +129,36 @@ def probabilities(net: Network, windows: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(net.slope * raw_scores(net, windows) + net.offset, -30, 30)))
 
 
-def train(windows: np.ndarray, labels: np.ndarray, classes: np.ndarray, seed: int = 2, recall: float = RECALL) -> Network:
-    """Trained on two thirds of the findings; calibration and thresholds come from the rest. The seed fixes the result."""
+def _strongest(net: Network, windows: np.ndarray, starts: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The window with the highest score of each of some tokens; those of token i are starts[i] to starts[i + 1]."""
+    rows, sizes = starts[at].copy(), starts[at + 1] - starts[at]
+    several = np.flatnonzero(sizes > 1)
+    if len(several):
+        owners = np.repeat(several, sizes[several])
+        every = np.concatenate([np.arange(starts[t], starts[t + 1]) for t in at[several]])
+        order = np.lexsort((-raw_scores(net, windows[every]), owners))
+        rows[several] = every[order[np.unique(owners[order], return_index=True)[1]]]
+    return rows
+
+
+def train(windows: np.ndarray, labels: np.ndarray, classes: np.ndarray, seed: int = 2, recall: float = RECALL, counts: np.ndarray | None = None) -> Network:
+    """Trained on two thirds of the findings; calibration and thresholds come from the rest. The seed fixes the result.
+    ``counts`` are the numbers of windows of each finding, one of each if not given; the one with the highest score is learnt from."""
     rng = np.random.default_rng(seed)
+    starts = np.concatenate([[0], np.cumsum(np.ones(len(labels), int) if counts is None else counts)])
     net = Network(rng.normal(0, 0.3, (128, EMBED)), rng.normal(0, 0.2, (EMBED * WIDTH, FILTERS)), np.zeros(FILTERS), rng.normal(0, 0.1, FILTERS * len(_PARTS) + 1))
     names = ("embed", "kernel", "bias", "out")
     first = {n: np.zeros_like(getattr(net, n)) for n in names}
     second = {n: np.zeros_like(getattr(net, n)) for n in names}
-    order = rng.permutation(len(windows))
+    order = rng.permutation(len(labels))
     kept, used, step = order[::3], np.setdiff1d(order, order[::3]), 0
     share = np.clip(labels[used].mean(), 0.05, 0.95)
     for _ in range(EPOCHS):
         mixed = rng.permutation(used)
         for i in range(0, len(mixed), BATCH):
             at = mixed[i:i + BATCH]
-            columns, places, pooled, scores = _forward(net, windows[at])
+            seen = windows[_strongest(net, windows, starts, at)]
+            columns, places, pooled, scores = _forward(net, seen)
             weight = np.where(labels[at] == 1, 0.5 / share, 0.5 / (1 - share))
             error = weight * (1 / (1 + np.exp(-np.clip(scores, -30, 30))) - labels[at]) / len(at)
             slopes = {"out": np.append(pooled.T @ error, error.sum()), "kernel": np.zeros_like(net.kernel), "bias": np.zeros_like(net.bias),
@@ -136,17 +171,18 @@ def train(windows: np.ndarray, labels: np.ndarray, classes: np.ndarray, seed: in
                 slopes["bias"] += back.sum(axis=0)
                 down = (back[:, :, None] * net.kernel.T[None]).reshape(len(at), FILTERS, EMBED, WIDTH)
                 for w in range(WIDTH):
-                    np.add.at(slopes["embed"], windows[at][np.arange(len(at))[:, None], place + w], down[:, :, :, w])
+                    np.add.at(slopes["embed"], seen[np.arange(len(at))[:, None], place + w], down[:, :, :, w])
             step += 1
             for n in names:
                 first[n] = 0.9 * first[n] + 0.1 * slopes[n]
                 second[n] = 0.999 * second[n] + 0.001 * slopes[n] ** 2
                 setattr(net, n, getattr(net, n) - RATE * (first[n] / (1 - 0.9 ** step)) / (np.sqrt(second[n] / (1 - 0.999 ** step)) + 1e-8))
-    scores, truth = raw_scores(net, windows[kept]), labels[kept]
+    strongest = windows[_strongest(net, windows, starts, kept)]
+    scores, truth = raw_scores(net, strongest), labels[kept]
     for _ in range(300):
         p = 1 / (1 + np.exp(-np.clip(net.slope * scores + net.offset, -30, 30)))
         net.slope, net.offset = net.slope + 0.02 * ((truth - p) * scores).mean(), net.offset + 0.1 * (truth - p).mean()
-    found = probabilities(net, windows[kept])
+    found = probabilities(net, strongest)
     limits = []
     for c in range(len(CLASSES)):
         true = np.sort(found[(classes[kept] == c) & (truth == 1)])[::-1]
@@ -157,20 +193,28 @@ def train(windows: np.ndarray, labels: np.ndarray, classes: np.ndarray, seed: in
 
 def generated(count: int = GENERATED, seed: int = 1) -> list[tuple[str, int, int, int]]:
     """Invented findings (text, start, end, label): keys after telling words or with known heads, against identifiers,
-    addresses, versions, times and numbers."""
+    addresses, versions, times and numbers. A third stands inside a longer token, like a key among the folders of a path."""
     rng = np.random.default_rng(seed)
     pick = lambda options: options[int(rng.integers(len(options)))]
     chars = lambda alphabet, low, high: "".join(alphabet[i] for i in rng.integers(len(alphabet), size=int(rng.integers(low, high))))
     lower, digits = string.ascii_lowercase, string.digits
     mixed, hexes = string.ascii_letters + digits, "0123456789abcdef"
     words = lambda n: " ".join(chars(lower, 2, 9) for _ in range(n))
+    folders = lambda n: "/".join(chars(lower, 2, 10) for _ in range(n))
+    headed = lambda: pick(["ghp_", "xoxb-", "sk_live_", "glpat-", "AIza"]) + chars(mixed, 20, 40)
     out = []
     for i in range(count):
         true = i % 2
+        if i % 6 > 3:  # both labels: within a path, of which only a part is told
+            before = words(4) + " " + pick(["see ", "file ", "at ", "from "]) + f"{chars(lower, 3, 9)}.org/{folders(int(rng.integers(1, 12)))}/"
+            token = headed() if true else pick([lambda: folders(5), lambda: f"{folders(3)}/{chars(digits, 2, 9)}", lambda: f"{chars(lower, 4, 9)}{chars(digits, 1, 5)}/{folders(3)}"])()
+            after = pick(["", f"/{chars(lower, 3, 9)}.txt", f"/{folders(int(rng.integers(1, 8)))}"]) + " "
+            out.append((before + token + after + words(3), len(before), len(before) + len(token), true))
+            continue
         if true:
             lead = pick(["client_secret=", "auth: ", "Authorization: Bearer ", "private key ", "pwd=", "credential: ", "access_key ", "signing key: ", "secret is "])
             token = pick([lambda: chars(mixed, 24, 45), lambda: chars(hexes, 24, 65), lambda: chars(mixed + "+/", 30, 45) + "=",
-                          lambda: pick(["ghp_", "xoxb-", "sk_live_", "glpat-", "AIza"]) + chars(mixed, 20, 40)])()
+                          headed])()
         else:
             lead = pick(["see ", "id ", "http://", "file ", "at ", "version ", "ref ", "from "])
             token = pick([lambda: "-".join(chars(hexes, n, n + 1) for n in (8, 4, 4, 4, 12)), lambda: f"www.{chars(lower, 5, 12)}.org/{chars(lower, 3, 8)}/{chars(digits, 2, 6)}",
@@ -178,7 +222,7 @@ def generated(count: int = GENERATED, seed: int = 1) -> list[tuple[str, int, int
                           lambda: f"2024-0{chars(digits, 1, 2)}-1{chars(digits, 1, 2)}T0{chars(digits, 1, 2)}.00.00.000", lambda: ".".join(chars(digits, 1, 5) for _ in range(6)) + ".0000"])()
         before = words(4) + " " + lead
         out.append((before + token + " " + words(3), len(before), len(before) + len(token), true))
-    return [(text, start, end, label) for text, start, end, label in out if end - start >= 16]
+    return [(text, start, end, label) for text, start, end, label in out if any(s < end and e > start for s, e in candidates(text))]
 
 
 class Covered:
@@ -200,7 +244,7 @@ class Covered:
 
 def network(documents: DataFrame, text: str = "text", most: int = TRAIN_DOCUMENTS, most_findings: int = TRAIN_FINDINGS) -> Network:
     """Trained on the generated findings and those of at most ``most`` documents, ``most_findings`` of each; the windows of
-    these, of fixed length, are all that reaches the driver."""
+    these, TRAIN_WINDOWS of each at most, are all that reaches the driver."""
     named = documents.select(F.col("doc_id").alias("_d"), F.xxhash64("doc_id").alias("_h")).where("_d IS NOT NULL").distinct().orderBy("_h", "_d").limit(most)
 
     def labelled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -211,39 +255,46 @@ def network(documents: DataFrame, text: str = "text", most: int = TRAIN_DOCUMENT
                 for n, (start, end) in enumerate(candidates(found or "")):
                     if n == most_findings:
                         break
-                    rows.append((mark, n, window(found, start, end), token_class(found[start:end]), int(covered.touches(start, end))))
-            yield pd.DataFrame(rows, columns=["mark", "place", "window", "kind", "label"])
+                    shown = [window(found, a, b) for a, b in sampled_pieces(start, end, covered)]
+                    rows.append((mark, n, b"".join(shown), token_class(found[start:end]), int(covered.touches(start, end))))
+            yield pd.DataFrame(rows, columns=["mark", "place", "windows", "kind", "label"])
 
     sample = small_batches(documents).select("doc_id", F.xxhash64("doc_id", text).alias("_mark"), F.col(text).cast("string").alias("_t")).join(
         F.broadcast(named), F.col("doc_id") == F.col("_d")).select("_mark", "_t")
-    rows = sample.mapInPandas(labelled, "mark bigint, place int, window binary, kind int, label int").toPandas().sort_values(["mark", "place"], kind="stable")
+    rows = sample.mapInPandas(labelled, "mark bigint, place int, windows binary, kind int, label int").toPandas().sort_values(["mark", "place"], kind="stable")
     made = generated()
-    windows = [bytes(w) for w in rows["window"]] + [window(t, s, e) for t, s, e, _ in made]
+    whole = [next((a, b) for a, b in candidates(t) if a < e and b > s) for t, s, e, _ in made]
+    told = [Covered([(s, 0, e)] if y else []) for _, s, e, y in made]
+    windows = [bytes(w) for w in rows["windows"]] + [b"".join(window(m[0], a, b) for a, b in sampled_pieces(*at, c)) for m, at, c in zip(made, whole, told, strict=True)]
     labels = np.append(rows["label"].to_numpy(int), [y for *_, y in made])
-    classes = np.append(rows["kind"].to_numpy(int), [token_class(t[s:e]) for t, s, e, _ in made])
-    return train(np.array([np.frombuffer(w, np.uint8) for w in windows]), labels, classes)
+    classes = np.append(rows["kind"].to_numpy(int), [token_class(m[0][slice(*at)]) for m, at in zip(made, whole, strict=True)])
+    return train(np.frombuffer(b"".join(windows), np.uint8).reshape(-1, WINDOW), labels, classes, counts=np.array([len(w) // WINDOW for w in windows]))
 
 
 def spans_of(texts: list[str | None], net: Network) -> list[tuple[list, list]]:
-    """Findings of each text: those of the patterns, and all in order. The network sees each candidate that no pattern
-    covers; candidates are scored in blocks, so one text with very many of them needs no more memory."""
+    """Findings of each text: those of the patterns, and all in order. The network sees the whole of each candidate that no
+    pattern covers; windows are scored in blocks, so one text with very many or very long ones needs no more memory."""
     out = []
     for text in texts:
         base = base_spans(text or "")
-        covered, more, held = Covered(base), [], []
+        covered = Covered(base)
+        tokens = [(s, e) for s, e in candidates(text or "") if not covered.touches(s, e)]
+        best, held, owners = np.zeros(len(tokens)), [], []
 
         def scored() -> None:
             if held:
-                found = probabilities(net, np.array([np.frombuffer(window(text, s, e), np.uint8) for s, e in held]))  # noqa: B023
-                more.extend((s, 3, e) for (s, e), p in zip(held, found, strict=True) if p >= net.thresholds[token_class(text[s:e])])  # noqa: B023
+                np.maximum.at(best, owners, probabilities(net, np.array([np.frombuffer(w, np.uint8) for w in held])))  # noqa: B023
                 held.clear()  # noqa: B023
+                owners.clear()  # noqa: B023
 
-        for start, end in candidates(text or ""):
-            if not covered.touches(start, end):
-                held.append((start, end))
+        for n, (start, end) in enumerate(tokens):
+            for a, b in pieces(start, end):
+                held.append(window(text, a, b))
+                owners.append(n)
                 if len(held) == 512:
                     scored()
         scored()
+        more = [(s, 3, e) for (s, e), p in zip(tokens, best, strict=True) if p >= net.thresholds[token_class(text[s:e])]]
         out.append((base, sorted(base + more)))
     return out
 

@@ -71,3 +71,19 @@ def test_scanned_table(docs, clashing):
 
 def test_empty_table(docs):
     assert secrets.scanned(docs((1, "a")).where("false")).collect() == []
+
+
+def test_the_whole_of_a_long_candidate_is_read():
+    text = "see " + "ab1/" * 100 + " end"
+    shown = [secrets.window(text, a, b) for a, b in secrets.pieces(4, 404)]
+    assert {i for a, b in secrets.pieces(4, 404) for i in range(a, b)} == set(range(4, 404)) and all(len(w) == secrets.WINDOW for w in shown)
+    assert list(secrets.pieces(3, 40)) == [(3, 40)]
+
+
+@pytest.mark.parametrize("before", [5, 60, 400])
+def test_a_key_inside_a_long_path_counts(net, before):
+    path = "host.org/" + ("some/long/path/of/" * 30)[:before] + "/"
+    plain_text, keyed = (f"see {path}{middle}/file2.txt end" for middle in ("x" * 5, "ghp_" + "aB3dE5gH7jK9mN1pQ3sT5vW7yZ9bC2dF4hJ6"))
+    at = lambda t: secrets.raw_scores(net, np.array([np.frombuffer(secrets.window(t, a, b), np.uint8) for a, b in secrets.pieces(4, len(t) - 4)])).max()
+    assert at(keyed) > at(plain_text)
+    assert [s for s in secrets.spans_of([keyed], net)[0][1] if s[0] == 4]
