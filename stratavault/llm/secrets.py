@@ -1,17 +1,19 @@
 """Secret scanning with a character convolutional network.
 
-Fixed patterns give findings that always stand. Every other long token with a digit is a candidate: a small
-convolutional network in numpy reads its characters and those around it. It is trained on labelled findings: those of the
-patterns against the other candidates in a bounded sample of the corpus, and generated ones of known kinds. The scores are
-calibrated on findings kept out of training, and the threshold of each class of token is the highest that still finds
-the required share of the true ones among them.
+Fixed patterns give findings that always stand. Every long token, and shorter ones after a telling word, that no finding of
+the patterns holds whole is a candidate: a small convolutional network in numpy reads its characters and those around it. It
+is trained on labelled findings: those of the patterns against the other candidates in a bounded sample of the corpus, and
+generated ones of known kinds. The others of the corpus have no labels: those that look like findings after a first round
+of training, which takes them for none, are left out of the second. The scores are calibrated on findings kept out of training, and the
+threshold of each class of token is the highest that still finds the required share of the true ones among those that are
+scored.
 """
 
 from __future__ import annotations
 
 import re
 import string
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,7 +32,11 @@ ASSIGN_LEAST, ACCESS_LEAST = 6, 20
 KINDS = ("assign", "access", "hex", "model")
 _KEYS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{16,}")
+LONG = 16
+CANDIDATE = re.compile(rf"[A-Za-z0-9+/_.=-]{{{LONG},}}")
+#: Shorter tokens count after one of these words, from the length that the pattern of assignments takes.
+TELLING = re.compile(r"""(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|key|auth(?:orization)?|bearer|credentials?)["']?(?:\x20*+[:=]\x20*+|\x20++(?:is\x20++)?)"""
+                     rf"""["']?(?=([A-Za-z0-9+/_.=-]{{{ASSIGN_LEAST},{LONG}}}))""", re.IGNORECASE | re.ASCII)
 CLASSES = ("hex", "alnum", "mixed")
 #: Bound of the training sample: documents (those with the smallest hashes) and findings of one of them.
 TRAIN_DOCUMENTS = 2000
@@ -60,11 +66,13 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
-def candidates(text: str) -> Iterator[tuple[int, int]]:
-    """Long tokens with a digit, whatever the patterns say of them."""
-    for m in CANDIDATE.finditer(text):
-        if any(c.isdigit() for c in m[0]):
-            yield m.start(), m.end()
+def candidates(text: str) -> list[tuple[int, int]]:
+    """Long tokens, and shorter ones after a telling word, in order, whatever the patterns say of them."""
+    found = {m.end(): m.start() for m in CANDIDATE.finditer(text)}
+    for m in TELLING.finditer(text):
+        if len(m[1]) < LONG:
+            found.setdefault(m.end(1), m.start(1))
+    return sorted((start, end) for end, start in found.items())
 
 
 def token_class(token: str) -> int:
@@ -141,9 +149,13 @@ def _strongest(net: Network, windows: np.ndarray, starts: np.ndarray, at: np.nda
     return rows
 
 
-def train(windows: np.ndarray, labels: np.ndarray, classes: np.ndarray, seed: int = 2, recall: float = RECALL, counts: np.ndarray | None = None) -> Network:
+def train(windows: np.ndarray, labels: np.ndarray, classes: np.ndarray, seed: int = 2, recall: float = RECALL, counts: np.ndarray | None = None,
+          scored: np.ndarray | None = None, unsure: np.ndarray | None = None) -> Network:
     """Trained on two thirds of the findings; calibration and thresholds come from the rest. The seed fixes the result.
-    ``counts`` are the numbers of windows of each finding, one of each if not given; the one with the highest score is learnt from."""
+    ``counts`` are the numbers of windows of each finding, one of each if not given; the one with the highest score is learnt from.
+    ``scored`` tells which findings the network will be asked for, all if not given; the thresholds rest on these.
+    ``unsure`` tells which labels of 0 only mean that none is known: after a first round, findings among these that score like
+    the better half of the true ones of their class are left out, and a second round starts from the network of the first."""
     rng = np.random.default_rng(seed)
     starts = np.concatenate([[0], np.cumsum(np.ones(len(labels), int) if counts is None else counts)])
     net = Network(rng.normal(0, 0.3, (128, EMBED)), rng.normal(0, 0.2, (EMBED * WIDTH, FILTERS)), np.zeros(FILTERS), rng.normal(0, 0.1, FILTERS * len(_PARTS) + 1))
@@ -153,7 +165,12 @@ def train(windows: np.ndarray, labels: np.ndarray, classes: np.ndarray, seed: in
     order = rng.permutation(len(labels))
     kept, used, step = order[::3], np.setdiff1d(order, order[::3]), 0
     share = np.clip(labels[used].mean(), 0.05, 0.95)
-    for _ in range(EPOCHS):
+    for epoch in range(EPOCHS if unsure is None else 2 * EPOCHS):
+        if epoch == EPOCHS:
+            guess = raw_scores(net, windows[_strongest(net, windows, starts, np.arange(len(labels)))])
+            usual = np.array([np.median(guess[(classes == c) & (labels == 1)]) if ((classes == c) & (labels == 1)).any() else np.inf for c in range(len(CLASSES))])
+            doubted = unsure & (guess >= usual[classes])
+            used, kept = used[~doubted[used]], kept[~doubted[kept]]
         mixed = rng.permutation(used)
         for i in range(0, len(mixed), BATCH):
             at = mixed[i:i + BATCH]
@@ -183,9 +200,9 @@ def train(windows: np.ndarray, labels: np.ndarray, classes: np.ndarray, seed: in
         p = 1 / (1 + np.exp(-np.clip(net.slope * scores + net.offset, -30, 30)))
         net.slope, net.offset = net.slope + 0.02 * ((truth - p) * scores).mean(), net.offset + 0.1 * (truth - p).mean()
     found = probabilities(net, strongest)
-    limits = []
+    asked, limits = (truth == 1) & (True if scored is None else scored[kept]), []
     for c in range(len(CLASSES)):
-        true = np.sort(found[(classes[kept] == c) & (truth == 1)])[::-1]
+        true = np.sort(found[(classes[kept] == c) & asked])[::-1]
         limits.append(float(true[int(np.ceil(recall * len(true))) - 1]) if len(true) else 1.0)
     net.thresholds = tuple(limits)
     return net
@@ -211,13 +228,16 @@ def generated(count: int = GENERATED, seed: int = 1) -> list[tuple[str, int, int
             after = pick(["", f"/{chars(lower, 3, 9)}.txt", f"/{folders(int(rng.integers(1, 8)))}"]) + " "
             out.append((before + token + after + words(3), len(before), len(before) + len(token), true))
             continue
-        if true:
+        if true:  # each lead is a telling word
             lead = pick(["client_secret=", "auth: ", "Authorization: Bearer ", "private key ", "pwd=", "credential: ", "access_key ", "signing key: ", "secret is "])
             token = pick([lambda: chars(mixed, 24, 45), lambda: chars(hexes, 24, 65), lambda: chars(mixed + "+/", 30, 45) + "=",
+                          lambda: chars(mixed, 8, 16), lambda: chars(hexes, 12, 24), lambda: chars(string.ascii_letters, 20, 41), lambda: headed()[:8] + chars(hexes, 24, 41),
                           headed])()
         else:
-            lead = pick(["see ", "id ", "http://", "file ", "at ", "version ", "ref ", "from "])
-            token = pick([lambda: "-".join(chars(hexes, n, n + 1) for n in (8, 4, 4, 4, 12)), lambda: f"www.{chars(lower, 5, 12)}.org/{chars(lower, 3, 8)}/{chars(digits, 2, 6)}",
+            lead = pick(["see ", "id ", "http://", "file ", "at ", "version ", "ref ", "from ", "key ", "token is ", "auth: "])
+            token = pick([lambda: chars(lower, 6, 16), lambda: "-".join(chars(lower, 3, 9) for _ in range(4)), lambda: chars("-", 1, 2) * int(rng.integers(16, 80)),
+                          lambda: chars(lower, 16, 24), lambda: f"www.{chars(lower, 5, 12)}.org/{folders(2)}", lambda: f"{chars(digits, 2, 5)}.{chars(digits, 1, 4)}",
+                          lambda: "-".join(chars(hexes, n, n + 1) for n in (8, 4, 4, 4, 12)), lambda: f"www.{chars(lower, 5, 12)}.org/{chars(lower, 3, 8)}/{chars(digits, 2, 6)}",
                           lambda: f"{chars(lower, 4, 9)}_{chars(lower, 4, 9)}_{chars(digits, 1, 4)}.txt", lambda: chars(digits, 16, 24),
                           lambda: f"2024-0{chars(digits, 1, 2)}-1{chars(digits, 1, 2)}T0{chars(digits, 1, 2)}.00.00.000", lambda: ".".join(chars(digits, 1, 5) for _ in range(6)) + ".0000"])()
         before = words(4) + " " + lead
@@ -241,6 +261,10 @@ class Covered:
         at = bisect_left(self.starts, end) - 1
         return at >= 0 and self.ends[at] > start
 
+    def holds(self, start: int, end: int) -> bool:
+        at = bisect_right(self.starts, start) - 1
+        return at >= 0 and self.ends[at] >= end
+
 
 def network(documents: DataFrame, text: str = "text", most: int = TRAIN_DOCUMENTS, most_findings: int = TRAIN_FINDINGS) -> Network:
     """Trained on the generated findings and those of at most ``most`` documents, ``most_findings`` of each; the windows of
@@ -256,29 +280,32 @@ def network(documents: DataFrame, text: str = "text", most: int = TRAIN_DOCUMENT
                     if n == most_findings:
                         break
                     shown = [window(found, a, b) for a, b in sampled_pieces(start, end, covered)]
-                    rows.append((mark, n, b"".join(shown), token_class(found[start:end]), int(covered.touches(start, end))))
-            yield pd.DataFrame(rows, columns=["mark", "place", "windows", "kind", "label"])
+                    rows.append((mark, n, b"".join(shown), token_class(found[start:end]), int(covered.touches(start, end)),
+                                 not covered.holds(start, end)))
+            yield pd.DataFrame(rows, columns=["mark", "place", "windows", "kind", "label", "scored"])
 
     sample = small_batches(documents).select("doc_id", F.xxhash64("doc_id", text).alias("_mark"), F.col(text).cast("string").alias("_t")).join(
         F.broadcast(named), F.col("doc_id") == F.col("_d")).select("_mark", "_t")
-    rows = sample.mapInPandas(labelled, "mark bigint, place int, windows binary, kind int, label int").toPandas().sort_values(["mark", "place"], kind="stable")
+    rows = sample.mapInPandas(labelled, "mark bigint, place int, windows binary, kind int, label int, scored boolean").toPandas().sort_values(["mark", "place"], kind="stable")
     made = generated()
     whole = [next((a, b) for a, b in candidates(t) if a < e and b > s) for t, s, e, _ in made]
     told = [Covered([(s, 0, e)] if y else []) for _, s, e, y in made]
     windows = [bytes(w) for w in rows["windows"]] + [b"".join(window(m[0], a, b) for a, b in sampled_pieces(*at, c)) for m, at, c in zip(made, whole, told, strict=True)]
     labels = np.append(rows["label"].to_numpy(int), [y for *_, y in made])
     classes = np.append(rows["kind"].to_numpy(int), [token_class(m[0][slice(*at)]) for m, at in zip(made, whole, strict=True)])
-    return train(np.frombuffer(b"".join(windows), np.uint8).reshape(-1, WINDOW), labels, classes, counts=np.array([len(w) // WINDOW for w in windows]))
+    scored = np.append(rows["scored"].to_numpy(bool), [not Covered(base_spans(m[0])).holds(*at) for m, at in zip(made, whole, strict=True)])
+    every, counts = np.frombuffer(b"".join(windows), np.uint8).reshape(-1, WINDOW), np.array([len(w) // WINDOW for w in windows])
+    return train(every, labels, classes, counts=counts, scored=scored, unsure=(labels == 0) & (np.arange(len(labels)) < len(rows)))
 
 
 def spans_of(texts: list[str | None], net: Network) -> list[tuple[list, list]]:
-    """Findings of each text: those of the patterns, and all in order. The network sees the whole of each candidate that no
-    pattern covers; windows are scored in blocks, so one text with very many or very long ones needs no more memory."""
+    """Findings of each text: those of the patterns, and all in order. The network sees the whole of each candidate but those
+    that lie within a finding of the patterns; windows are scored in blocks, so one text with very many or very long ones needs no more memory."""
     out = []
     for text in texts:
         base = base_spans(text or "")
         covered = Covered(base)
-        tokens = [(s, e) for s, e in candidates(text or "") if not covered.touches(s, e)]
+        tokens = [(s, e) for s, e in candidates(text or "") if not covered.holds(s, e)]
         best, held, owners = np.zeros(len(tokens)), [], []
 
         def scored() -> None:
