@@ -91,6 +91,17 @@ def small_batches(documents: DataFrame, most: int = 16 << 20) -> DataFrame:
     return documents
 
 
+def sampled(documents: DataFrame, names: DataFrame, text: str = "text") -> DataFrame:
+    """Each row of ``names`` (few, with the id in ``_d``) whose id has rows in ``documents``, with ``_t``, the one of their
+    texts with the least hash: however many rows repeat an id, one text of it is kept, and chosen by narrow rows that are
+    folded before a shuffle."""
+    named = F.broadcast(names.select("_d").distinct())
+    hashed = documents.select("doc_id", F.xxhash64(text).alias("_hash"), F.col(text).cast("string").alias("_t"))
+    least = hashed.join(named, F.col("doc_id") == F.col("_d"), "left_semi").groupBy(F.col("doc_id").alias("_l")).agg(F.min("_hash").alias("_least"))
+    texts = hashed.join(F.broadcast(least), (F.col("doc_id") == F.col("_l")) & (F.col("_hash") == F.col("_least")), "left_semi")
+    return texts.groupBy("doc_id").agg(F.min("_t").alias("_t")).join(F.broadcast(names), F.col("doc_id") == F.col("_d"))
+
+
 def marked(documents: DataFrame, text: str = "text") -> DataFrame:
     """``documents`` with ``_mark``, a hash of the text: (doc_id, _mark) names a row, but for rows that repeat."""
     return documents.withColumn("_mark", F.xxhash64(text))

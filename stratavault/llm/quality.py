@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratavault.llm.base import small_batches
+from stratavault.llm.base import sampled, small_batches
 
 #: Bound of the training sample: labelled documents (those with the smallest hashes), and lines of one of them.
 TRAIN_DOCUMENTS = 3000
@@ -208,7 +208,7 @@ def held_out(key: Column) -> Column:
 
 def train(documents: DataFrame, labels: DataFrame, text: str = "text", most: int = TRAIN_DOCUMENTS, most_lines: int = TRAIN_LINES) -> Field | None:
     """Field fitted on at most ``most`` labelled documents that are not held out, of at most ``most_lines`` lines each; None
-    if there are none. Only features of their lines reach the driver, ``most * most_lines`` rows at most."""
+    if there are none. An id that repeats counts once, so features of ``most * most_lines`` lines at most reach the driver."""
     named = (labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
              .select(F.col("doc_id").alias("_d"), F.col("quality").cast("int").alias("_y"), F.xxhash64("doc_id").alias("_h"))
              .distinct().orderBy("_h", "_d", "_y").limit(most))
@@ -220,8 +220,7 @@ def train(documents: DataFrame, labels: DataFrame, text: str = "text", most: int
                     own, size, lines = line_features([found])
                     yield pd.DataFrame({"mark": [mark], "y": [y], "own": [own.ravel()], "size": [size], "lines": lines})
 
-    sample = small_batches(documents).select("doc_id", F.xxhash64("doc_id", text).alias("_mark"), F.col(text).cast("string").alias("_t")).join(
-        F.broadcast(named), F.col("doc_id") == F.col("_d")).select("_mark", "_y", "_t")
+    sample = sampled(small_batches(documents), named, text).select(F.xxhash64("doc_id", "_t").alias("_mark"), "_y", "_t")
     rows = sample.mapInPandas(described, "mark bigint, y int, own array<double>, size array<double>, lines bigint").toPandas()
     if rows.empty:
         return None

@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratavault.llm.base import small_batches
+from stratavault.llm.base import sampled, small_batches
 
 # The patterns, the least length of a finding, and the order of the kinds.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
@@ -267,7 +267,7 @@ class Covered:
 
 
 def network(documents: DataFrame, text: str = "text", most: int = TRAIN_DOCUMENTS, most_findings: int = TRAIN_FINDINGS) -> Network:
-    """Trained on the generated findings and those of at most ``most`` documents, ``most_findings`` of each; the windows of
+    """Trained on the generated findings and those of at most ``most`` documents (one for each id), ``most_findings`` of each; the windows of
     these, TRAIN_WINDOWS of each at most, are all that reaches the driver."""
     named = documents.select(F.col("doc_id").alias("_d"), F.xxhash64("doc_id").alias("_h")).where("_d IS NOT NULL").distinct().orderBy("_h", "_d").limit(most)
 
@@ -284,8 +284,7 @@ def network(documents: DataFrame, text: str = "text", most: int = TRAIN_DOCUMENT
                                  not covered.holds(start, end)))
             yield pd.DataFrame(rows, columns=["mark", "place", "windows", "kind", "label", "scored"])
 
-    sample = small_batches(documents).select("doc_id", F.xxhash64("doc_id", text).alias("_mark"), F.col(text).cast("string").alias("_t")).join(
-        F.broadcast(named), F.col("doc_id") == F.col("_d")).select("_mark", "_t")
+    sample = sampled(small_batches(documents), named, text).select(F.xxhash64("doc_id", "_t").alias("_mark"), "_t")
     rows = sample.mapInPandas(labelled, "mark bigint, place int, windows binary, kind int, label int, scored boolean").toPandas().sort_values(["mark", "place"], kind="stable")
     made = generated()
     whole = [next((a, b) for a, b in candidates(t) if a < e and b > s) for t, s, e, _ in made]

@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratavault.llm.base import small_batches
+from stratavault.llm.base import sampled, small_batches
 from stratavault.llm.quality import held_out
 from stratavault.session import materialise
 
@@ -138,12 +138,12 @@ def _threshold(scores: np.ndarray, y: np.ndarray) -> float:
 def train(documents: DataFrame, labels: DataFrame, text: str = "text", most: int = TRAIN_DOCUMENTS, most_chars: int = TRAIN_CHARS,
           most_terms: int = TERMS) -> Chain | None:
     """Chain fitted on at most ``most`` labelled documents that are not held out, of at most ``most_chars`` characters
-    each; None if there are none or all have one label. Terms are those that tell the labels apart best over the sample;
+    each, one for each id; None if there are none or all have one label. Terms are those that tell the labels apart best over the sample;
     the driver gets ``most_terms`` of them and a row of their numbers per document of the sample."""
     named = (labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
              .select(F.col("doc_id").alias("_d"), F.col("toxic").cast("int").alias("_y"), (F.coalesce(F.col("quality"), F.lit(1)) == 0).cast("int").alias("_q"),
                      F.xxhash64("doc_id").alias("_h")).distinct().orderBy("_h", "_d", "_y", "_q").limit(most))
-    sample = materialise(small_batches(documents).select("doc_id", F.col(text).cast("string").alias("_t")).join(F.broadcast(named), F.col("doc_id") == F.col("_d")).where(
+    sample = materialise(sampled(small_batches(documents), named, text).where(
         F.coalesce(F.length("_t"), F.lit(0)) <= most_chars).select("_h", "_y", "_q", "_t"), "toxicity-sample")
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
