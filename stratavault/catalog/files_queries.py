@@ -63,7 +63,7 @@ def stored_listing(spark, d):
     """Documents stored as one file per language in nested folders: what the listing finds, and the rows it leads to."""
     root = scratch_path(spark, "objects")
     docs = table(spark, d, "documents").withColumns({"store": F.concat(F.lit("b"), F.length("lang") % 2), "language": F.col("lang")})
-    docs.repartition(1).write.partitionBy("store", "language").parquet(root)
+    docs.repartition("store", "language").write.partitionBy("store", "language").parquet(root)
     buckets = [n for n in list_folder(spark, root) if n.startswith("store=")]
     listed = fi.list_objects(spark, root, buckets, "*.parquet").where("size > 0").select("bucket", F.substring_index("key", "/", 1).alias("folder"))
     rows = spark.read.parquet(root).groupBy(F.concat(F.lit("language="), F.col("language")).alias("folder")).agg(F.count(F.lit(1)).alias("n_rows"))
