@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratavault.catalog.base import Query, table
-from stratavault.llm import chat_format, decontaminate, exact_dedup, mixing, quality, secrets, simhash, toxicity, url_filter, warc
+from stratavault.llm import chat_format, decontaminate, exact_dedup, merkle, mixing, quality, secrets, simhash, toxicity, url_filter, warc
 from stratavault.session import scratch_path
 
 #: (host, path, verdict)
@@ -144,6 +144,52 @@ FROM scored WHERE similarity >= 0.8 GROUP BY doc_id, item_id
 """
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    values = {c: F.col(c) for c in ("doc_id", "source", "lang", "n_chars", "text")}
+    changed = values | {"n_chars": F.when(F.crc32(F.col("doc_id").cast("string")) % 7 == 0, F.col("n_chars") + 1).otherwise(F.col("n_chars"))}
+    leaves = docs.select("doc_id", "lang", merkle.leaf(list(values.values())).alias("leaf"), merkle.leaf(list(changed.values())).alias("shown"))
+    proofs = merkle.manifest(leaves, "lang", "doc_id").withColumn("folded_root", merkle.folded(F.col("shown"), F.col("steps"), F.col("siblings")))
+    return proofs.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("siblings")).alias("proof_sha256"), "folded_root",
+                         (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+def _sql_leaf(n_chars: str) -> str:
+    entries = [f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || {c}, '-')" for c in ("doc_id", "source", "lang", n_chars, "text")]
+    return f"sha256({' || '.join(entries)})"
+
+
+OP12_SQL = f"""
+WITH RECURSIVE crc AS (
+  SELECT *, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda v, i: xor(v >> 1, 3988292384 * (v & 1)))), 4294967295) AS crc FROM documents),
+leaves AS (
+  SELECT doc_id, lang, {_sql_leaf('n_chars')} AS leaf, {_sql_leaf('(n_chars + CASE WHEN crc % 7 = 0 THEN 1 ELSE 0 END)')} AS shown FROM crc),
+placed AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM leaves),
+grown AS (
+  SELECT lang, 0 AS lev, list(leaf ORDER BY pos) AS a FROM placed GROUP BY lang
+  UNION ALL SELECT lang, lev + 1, list_transform(range(0, len(a), 2), lambda i: sha256(a[i + 1] || coalesce(a[i + 2], ''))) FROM grown WHERE len(a) > 1),
+subroots AS (SELECT lang, a[1] AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos FROM grown WHERE len(a) = 1),
+top AS (
+  SELECT 0 AS lev, list(subroot ORDER BY pos) AS a FROM subroots
+  UNION ALL SELECT lev + 1, list_transform(range(0, len(a), 2), lambda i: sha256(a[i + 1] || coalesce(a[i + 2], ''))) FROM top WHERE len(a) > 1),
+low_steps AS (
+  SELECT p.lang, p.pos, list(CASE WHEN (p.pos >> lev) % 2 = 1 THEN 'L' ELSE 'R' END || coalesce(a[xor(p.pos >> lev, 1) + 1], '') ORDER BY lev) AS s
+  FROM placed p JOIN grown g ON g.lang IS NOT DISTINCT FROM p.lang AND len(a) > 1 GROUP BY ALL),
+top_steps AS (
+  SELECT p.lang, list(CASE WHEN (p.pos >> lev) % 2 = 1 THEN 'L' ELSE 'R' END || coalesce(a[xor(p.pos >> lev, 1) + 1], '') ORDER BY lev) AS s
+  FROM subroots p JOIN top ON len(a) > 1 GROUP BY ALL),
+proofs AS (
+  SELECT p.*, r.subroot, (SELECT a[1] FROM top WHERE len(a) = 1) AS root, list_concat(coalesce(l.s, []), coalesce(t.s, [])) AS steps
+  FROM placed p JOIN subroots r ON r.lang IS NOT DISTINCT FROM p.lang
+  LEFT JOIN low_steps l ON l.lang IS NOT DISTINCT FROM p.lang AND l.pos = p.pos LEFT JOIN top_steps t ON t.lang IS NOT DISTINCT FROM p.lang),
+folds AS (
+  SELECT *, list_reduce(list_prepend(shown, steps), lambda d, s: sha256(CASE WHEN s[1] = 'L' THEN s[2:] || d ELSE d || s[2:] END)) AS folded_root FROM proofs)
+SELECT doc_id, leaf, subroot, root, sha256(array_to_string(list_transform(steps, lambda s: s[2:]), '')) AS proof_sha256, folded_root,
+       folded_root = root AS verified FROM folds
+"""
+
+
 QUERIES = {
     "op1_warc": Query(op1_warc, OP1_SQL),
     "op2_secrets": Query(op2_secrets),
@@ -155,4 +201,5 @@ QUERIES = {
     "op8_quality": Query(op8_quality),
     "op9_url_filter": Query(op9_url_filter, OP9_SQL),
     "op10_decontaminate": Query(op10_decontaminate, OP10_SQL),
+    "op12_merkle_manifest": Query(op12_merkle_manifest, OP12_SQL),
 }
