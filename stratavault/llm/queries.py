@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratavault.catalog.base import Query, table
-from stratavault.llm import chat_format, decontaminate, exact_dedup, merkle, mixing, quality, secrets, simhash, toxicity, url_filter, warc
+from stratavault.llm import chat_format, decontaminate, exact_dedup, merkle, mixing, quality, secrets, simhash, structure, toxicity, url_filter, warc
 from stratavault.session import scratch_path
 
 #: (host, path, verdict)
@@ -190,6 +190,18 @@ SELECT doc_id, leaf, subroot, root, sha256(array_to_string(list_transform(steps,
 """
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    space = F.lit(" ")
+    kind = F.crc32(F.concat(F.coalesce(F.col("conv_id").cast("string"), space), F.lit(":"), F.coalesce(F.col("turn").cast("string"), space))) % 20
+    text = F.coalesce("text", space)
+    damaged = rows.select(
+        "conv_id", "turn", F.when(kind == 4, "user").otherwise(F.coalesce("role", space)).alias("role"),
+        F.when(kind == 1, "").when(kind == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text).alias("text"), (kind != 0).alias("present"),
+        F.explode(F.array_repeat(F.lit(0), F.when(kind == 3, 2).otherwise(1))).alias("copy"))
+    return structure.audited(damaged, F.col("present"))
+
+
 QUERIES = {
     "op1_warc": Query(op1_warc, OP1_SQL),
     "op2_secrets": Query(op2_secrets),
@@ -202,4 +214,5 @@ QUERIES = {
     "op9_url_filter": Query(op9_url_filter, OP9_SQL),
     "op10_decontaminate": Query(op10_decontaminate, OP10_SQL),
     "op12_merkle_manifest": Query(op12_merkle_manifest, OP12_SQL),
+    "op13_conversation_repair": Query(op13_conversation_repair),
 }
