@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratavault.catalog.base import Query, table
-from stratavault.llm import chat_format, decontaminate, exact_dedup, merkle, mixing, quality, secrets, simhash, structure, toxicity, url_filter, warc
+from stratavault.llm import chat_format, decontaminate, exact_dedup, merkle, mixing, ngram_join, quality, secrets, simhash, structure, toxicity, url_filter, warc
 from stratavault.session import scratch_path
 
 #: (host, path, verdict)
@@ -144,6 +144,28 @@ FROM scored WHERE similarity >= 0.8 GROUP BY doc_id, item_id
 """
 
 
+def op11_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar(table(spark, sf_dir, "documents"), width=4, percent=85)
+
+
+OP11_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+shingles AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+  ELSE list_transform(range(1, len(w) - 2), lambda p: array_to_string(w[p:p + 3], ' ')) END) AS s FROM words),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+  JOIN sizes x ON x.doc_id = a.doc_id JOIN sizes y ON y.doc_id = b.doc_id
+  GROUP BY ALL HAVING 100 * count(*) >= 85 * (any_value(x.n) + any_value(y.n) - count(*))),
+reached AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reached r JOIN links l ON l.a = r.b),
+least AS (SELECT a, min(b) AS b FROM reached GROUP BY a)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, least(d.doc_id, coalesce(l.b, d.doc_id)) AS component_id
+FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id LEFT JOIN least l ON l.a = d.doc_id
+"""
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     values = {c: F.col(c) for c in ("doc_id", "source", "lang", "n_chars", "text")}
@@ -213,6 +235,7 @@ QUERIES = {
     "op8_quality": Query(op8_quality),
     "op9_url_filter": Query(op9_url_filter, OP9_SQL),
     "op10_decontaminate": Query(op10_decontaminate, OP10_SQL),
+    "op11_ngram_join": Query(op11_ngram_join, OP11_SQL),
     "op12_merkle_manifest": Query(op12_merkle_manifest, OP12_SQL),
     "op13_conversation_repair": Query(op13_conversation_repair),
 }
