@@ -6,18 +6,18 @@ plays the paid-services sector), amounts = order totals as text.
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratavault.catalog.base import LOAD_1, LOAD_2, Query, portable, table
+from stratavault.catalog.base import LOAD_1, LOAD_2, LOAD_3, Query, own_database, portable, table
 from stratavault.functions.keys import hash_key
 from stratavault.operators import vault as v
 from stratavault.plans import revenue as r
 from stratavault.session import materialise
+from stratavault.sinks.keyed import keyed_rows
 
 SRC = r.REVENUE_SOURCE
 
@@ -181,21 +181,52 @@ LOADED = ("hub_revenue", "sat_revenue", "hub_road", "sat_road", "link_road")
 def loaded(spark, d, reload: bool) -> DataFrame:
     """Two deliveries into stored tables: orders before 1998 with all roads, then those since 1997 with all roads but one.
     ``reload`` loads the second one again, and starts the road satellite anew from it. Rows by table and load."""
-    database = f"warehouse_{uuid.uuid4().hex}"
-    spark.sql(f"CREATE DATABASE {database}")
     full = full_stage(spark, d)
     first = replace(full, revenue=full.revenue.where(f"`{r.YEAR}` < '1998'"))
     second = replace(full, revenue=full.revenue.where(f"`{r.YEAR}` >= '1997'"), roads=full.roads.where("id <> '0'"))
-    r.load(first, LOAD_1, database, LOADED)
-    r.load(second, LOAD_2, database, LOADED)
-    if reload:
+    with own_database(spark) as database:
+        r.load(first, LOAD_1, database, LOADED)
         r.load(second, LOAD_2, database, LOADED)
-        r.load(second, LOAD_2, database, ["sat_road"], full_refresh=True)
-    parts = [spark.table(f"{database}.{n}").groupBy("load_date").agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct(spark.table(f"{database}.{n}").columns[0]).alias("n_keys"))
-             .withColumn("table_name", F.lit(n)) for n in LOADED]
-    counted = materialise(reduce(DataFrame.unionByName, parts), "loaded")
-    spark.sql(f"DROP DATABASE {database} CASCADE")
-    return counted
+        if reload:
+            r.load(second, LOAD_2, database, LOADED)
+            r.load(second, LOAD_2, database, ["sat_road"], full_refresh=True)
+        parts = [spark.table(f"{database}.{n}").groupBy("load_date").agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct(spark.table(f"{database}.{n}").columns[0]).alias("n_keys"))
+                 .withColumn("table_name", F.lit(n)) for n in LOADED]
+        return materialise(reduce(DataFrame.unionByName, parts), "loaded")
+
+
+def two_deliveries(spark, d) -> tuple[r.Stage, r.Stage]:
+    """Years before 1998, then the even months since 1997 with one rouble more in every order: of 1997 only these come again."""
+    full = full_stage(spark, d)
+    again = full.revenue.where(f"`{r.YEAR}` >= '1997' AND CAST(`{r.MONTH}` AS INT) % 2 = 0")
+    again = again.withColumn(r.FACT, (F.col(f"`{r.FACT}`").cast("decimal(15,2)") + 1).cast("string"))
+    return replace(full, revenue=full.revenue.where(f"`{r.YEAR}` < '1998'")), replace(full, revenue=again)
+
+
+def report_two_loads(spark, d):
+    """Report over the stored warehouse after two deliveries, the second one loaded twice under two load times."""
+    first, second = two_deliveries(spark, d)
+    with own_database(spark) as database:
+        for stage, load_ts in ((first, LOAD_1), (second, LOAD_2), (second, LOAD_3)):
+            r.load(stage, load_ts, database)
+        return materialise(portable(r.stored_layers(spark, database, LOAD_3)["report"]["pmu_revenue"]), "report")
+
+
+def bdv_incremental(spark, d):
+    """The stored business aggregate, brought up to date after each of two deliveries; sums that stay keep their load date."""
+    first, second = two_deliveries(spark, d)
+    with own_database(spark) as database:
+        for stage, load_ts in ((first, LOAD_1), (second, LOAD_2)):
+            r.load(stage, load_ts, database)
+            r.load_business(spark, database, load_ts)
+        return materialise(portable(keyed_rows(spark, f"{database}.{r.BUSINESS_TABLE}").drop("source_system")), "business")
+
+
+def rank_id_two_loads(spark, d):
+    """Numbers of customer names after two deliveries of orders: those of customers that were seen first stay."""
+    orders = table(spark, d, "orders").join(table(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    first = materialise(v.lasting_ids(orders.where("o_orderdate < '1993-01-01'"), None, "c_name"), "ids")
+    return v.lasting_ids(orders, first, "c_name")
 
 
 # ---------------------------------------------------------------- expected rows
@@ -288,7 +319,23 @@ def _loaded_sql(refreshed: bool) -> str:
         for n in LOADED)
 
 
+def _business_of(rows: str) -> str:
+    """The business aggregate over ``rows``, a select from stk."""
+    return f"{STG}, one AS (SELECT * FROM stk WHERE y < '1998'),\n" \
+        "two AS (SELECT * REPLACE (fact_amount + 1 AS fact_amount) FROM stk WHERE y >= '1997' AND CAST(m AS INTEGER) % 2 = 0),\n" \
+        f"counted AS ({rows})" + BUSINESS[len(STG):].replace("FROM stk", "FROM counted")
+
+
+NEWEST = _business_of("SELECT * FROM two UNION ALL SELECT * FROM one WHERE revenue_hk NOT IN (SELECT revenue_hk FROM two)")
+
 QUERIES = {
+    "report_two_loads": Query(report_two_loads, f"WITH {NEWEST}, {MART} SELECT * RENAME (medical_center_hk AS med_center_hk) FROM mart"),
+    "bdv_incremental": Query(bdv_incremental, f"""SELECT n.* REPLACE (CAST(n.value AS DOUBLE) AS value),
+CASE WHEN n.value = o.value THEN TIMESTAMP '{LOAD_1}' ELSE TIMESTAMP '{LOAD_2}' END AS load_date
+FROM (WITH {NEWEST} SELECT * FROM bdv) n LEFT JOIN (WITH {_business_of("SELECT * FROM one")} SELECT revenue_hk, value FROM bdv) o USING (revenue_hk)"""),
+    "rank_id_two_loads": Query(rank_id_two_loads, """WITH seen AS (SELECT c_name, min(o_orderdate) < TIMESTAMP '1993-01-01' AS early
+  FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY c_name)
+SELECT c_name, row_number() OVER (ORDER BY NOT early, encode(c_name)) AS id FROM seen"""),
     "bdv_duplicate_directory": Query(bdv_duplicate_directory, f"WITH {BUSINESS} SELECT * REPLACE (CAST(value AS DOUBLE) AS value) FROM bdv"),
     "vault_two_loads": Query(lambda s, d: loaded(s, d, reload=False), _loaded_sql(refreshed=False)),
     "vault_reload": Query(lambda s, d: loaded(s, d, reload=True), _loaded_sql(refreshed=True)),

@@ -149,3 +149,18 @@ def latest_batch(history: DataFrame, load_column: str = "load_date") -> DataFram
 def rank_id(df: DataFrame, name_column: str, id_column: str = "id") -> DataFrame:
     """Distinct names numbered from 1 in name order, without a single-task sort."""
     return numbered(df.select(name_column).distinct(), name_column, id_column)
+
+
+def lasting_ids(names: DataFrame, known: DataFrame | None, name_column: str, id_column: str = "id") -> DataFrame:
+    """Distinct names with numbers that last: those in ``known`` (name, number) keep theirs, the others are numbered in name
+    order behind the highest. Only unseen names are ordered, in slices; a name that is numbered twice keeps the least number."""
+    distinct = names.select(name_column).distinct()
+    if known is None:
+        return numbered(distinct, name_column, id_column)
+    kept = known.groupBy(F.col(name_column).alias("_name")).agg(F.min(id_column).alias(id_column))
+    same = F.col(name_column).eqNullSafe(F.col("_name"))
+    old = distinct.join(kept, same).select(name_column, F.col(id_column).cast("bigint").alias(id_column))
+    unseen = distinct.join(kept.select("_name"), same, "left_anti")
+    highest = F.coalesce(kept.agg(F.max(id_column)).scalar(), F.lit(0))
+    new = numbered(unseen, name_column, "_place").select(name_column, (F.col("_place") + highest).cast("bigint").alias(id_column))
+    return old.unionByName(new)

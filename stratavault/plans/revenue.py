@@ -7,15 +7,20 @@ dimension members below.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratavault.functions.keys import first_of_month, hash_key
 from stratavault.operators import vault as v
+from stratavault.operators.relational import difference
 from stratavault.session import materialise
 from stratavault.sinks import tables as sinks
+from stratavault.sinks.keyed import RANGES_SUFFIX, ROWS_PER_RANGE, Loaded, keyed_rows, load_keyed
 
 Store = Callable[[DataFrame, str], DataFrame]
 
@@ -94,8 +99,9 @@ class Tables(Mapping[str, DataFrame]):
         return len(self._makers)
 
 
-def raw_vault(stage: Stage, load_ts: str, store: Store = materialise) -> Tables:
-    """All raw-vault tables by name (``hub_*``, ``sat_*``, ``link_*``).
+def raw_vault(stage: Stage, load_ts: str, store: Store = materialise, sectors: DataFrame | None = None) -> Tables:
+    """All raw-vault tables by name (``hub_*``, ``sat_*``, ``link_*``). ``sectors`` has the sectors that were numbered before
+    (shortname, id).
 
     The folded key columns, the revenue hub and the ranked sectors are stored once; what builds on them reads
     the stored rows instead of the raw stage.
@@ -125,7 +131,7 @@ def raw_vault(stage: Stage, load_ts: str, store: Store = materialise) -> Tables:
 
     make["hub_revenue"] = lambda: store(hub_revenue(grain(), load_ts), "hub_revenue")
     make["sat_revenue"] = lambda: sat_revenue(stage.revenue, load_ts)
-    make["sat_sales_sector"] = lambda: store(sat_sales_sector(grain(), load_ts), "sat_sales_sector")
+    make["sat_sales_sector"] = lambda: store(sat_sales_sector(grain(), load_ts, sectors), "sat_sales_sector")
     hub_of(stage.roads, "road", "fullname", "fullname")
     hub_of(stage.centers, "medical_center", "fullname", "medical_center")
     hub_of(stage.channels, "sales_channel", "shortname", "shortname")
@@ -154,20 +160,27 @@ def directory_satellite(df: DataFrame, entity: str, key: str, load_ts: str) -> D
     return v.satellite(df, f"{entity}_hk", [F.col(key)], {c: F.col(f"`{c}`") for c in df.columns}, load_ts, DIRECTORY_SOURCE)
 
 
-def sat_sales_sector(revenue: DataFrame, load_ts: str) -> DataFrame:
-    ranked = v.rank_id(revenue.select(F.col(SECTOR).alias("shortname")), "shortname", "id")
+def sat_sales_sector(revenue: DataFrame, load_ts: str, known: DataFrame | None = None) -> DataFrame:
+    """Sectors with their numbers: in name order at first, and those of new sectors behind them."""
+    ranked = v.lasting_ids(revenue.select(F.col(SECTOR).alias("shortname")), known, "shortname", "id")
     audit = v.load_columns(load_ts, REVENUE_SOURCE)
     return ranked.select(hash_key("shortname").alias("sales_sector_hk"), audit[0], "shortname", "id",
                          F.col("shortname").alias("fullname"), audit[1])
 
 
+def newest_delivery(sums: DataFrame, value: str) -> DataFrame:
+    """Of sums per revenue key and load the newest per key."""
+    return sums.groupBy("revenue_hk").agg(F.max_by(value, "load_date").alias(value))
+
+
 def business_revenue(raw: Mapping[str, DataFrame], sector: str = SECTOR_PAID) -> DataFrame:
     """Fact sums of one sector by month and by year, each grain with its own labels.
 
-    The measure satellite is summed per revenue key before any join, so the joins see one row per key
-    however many rows the satellite holds. All of them use the same key.
+    Of every revenue key the measures of its newest delivery count: those of an older one give way where the key comes
+    again. The measure satellite is summed per revenue key before any join, so the joins see one row per key however
+    many rows the satellite holds. All of them use the same key.
     """
-    facts = raw["sat_revenue"].groupBy("revenue_hk").agg(F.sum("fact__rub").alias("fact"))
+    facts = newest_delivery(raw["sat_revenue"].groupBy("revenue_hk", "load_date").agg(F.sum("fact__rub").alias("fact")), "fact")
     rows = raw["hub_revenue"].select("revenue_hk", "year", "month").join(facts, "revenue_hk")
     for entity in ("road", "medical_center"):
         rows = rows.join(raw[f"link_{entity}"].select(f"{entity}_hk", "revenue_hk"), "revenue_hk")
@@ -274,31 +287,114 @@ def mart(business: Mapping[str, DataFrame]) -> Tables:
     return Tables(make)
 
 
-#: Keys of the stored hubs and links: the first column of each; satellites keep every load.
+#: Satellites keep every load; the first column of a stored hub or link is its key.
 SATELLITES = ("sat_revenue", "sat_sales_sector", *(f"sat_{e}" for e in (*DIRECTORIES, "road", "medical_center", "sales_channel")))
+#: Tables that are loaded at a time.
+AT_ONCE = 4
 
 
 def load(stage: Stage, load_ts: str, database: str, names: Iterable[str] | None = None, full_refresh: bool = False) -> dict[str, str]:
-    """Load one delivery into stored raw-vault tables; returns their names.
+    """Load one delivery into stored raw-vault tables, some at a time; returns their names.
 
     Satellites gain the rows of this load, or replace them if the load is repeated; ``full_refresh`` starts them anew.
-    Hubs and links keep one row per key, the last write. ``names`` limits the load to some tables.
+    Hubs and links keep one row per key, the last write. Sectors keep the numbers they have. ``names`` limits the load
+    to some tables.
     """
-    raw = raw_vault(stage, load_ts)
-    stored = {}
-    for name in names or [n for n in raw if n != "grain"]:
-        stored[name] = f"{database}.{name}"
+    spark, sectors = stage.revenue.sparkSession, f"{database}.sat_sales_sector"
+    # numbers as they are before this load, if any
+    known = materialise(spark.table(sectors).select("shortname", "id"), "sectors") if sinks.exists(spark, sectors) else None
+    raw = raw_vault(stage, load_ts, sectors=known)
+    wanted = list(names or [n for n in raw if n != "grain"])
+    for shared in ("grain", "hub_revenue"):
+        raw[shared]
+    planned = [(name, raw[name], f"{database}.{name}") for name in wanted]  # plans are made here, not by several threads
+
+    def one(item: tuple[str, DataFrame, str]) -> None:
+        name, rows, stored = item
         if name in SATELLITES:
-            sinks.append_history(raw[name], stored[name], full_refresh)
+            sinks.append_history(rows, stored, full_refresh, load_ts)
         else:
-            sinks.upsert_buckets(raw[name], stored[name], [raw[name].columns[0]])
-    return stored
+            load_keyed(rows, stored, [rows.columns[0]])
+
+    with ThreadPoolExecutor(AT_ONCE) as pool:
+        list(pool.map(inheritable_thread_target(spark)(one), planned))
+    return {name: stored for name, _, stored in planned}
+
+
+def stored_raw(spark: SparkSession, database: str) -> Tables:
+    """The raw vault as it is stored, all loads of it."""
+    found = [t.name for t in spark.catalog.listTables(database) if t.name.startswith(("hub_", "sat_", "link_")) and not t.name.endswith(RANGES_SUFFIX)]
+    return Tables({name: lambda name=name: keyed_rows(spark, f"{database}.{name}") for name in found})
+
+
+def stored_layers(spark: SparkSession, database: str, load_ts: str, store: Store = materialise) -> dict[str, Tables]:
+    """Business vault, mart and report over the stored raw vault."""
+    return _above(stored_raw(spark, database), load_ts, store)
+
+
+BUSINESS_TABLE = "business_revenue"
+_GROUP = ["year", "road_hk", "medical_center_hk"]
+
+
+def _members(raw: Mapping[str, DataFrame]) -> DataFrame:
+    """What the aggregate takes from the newest directory loads; where it changes, every group may."""
+    parts = [v.latest_batch(raw[f"sat_{e}"]).select(F.lit(e).alias("entity"), F.col(f"{e}_hk").alias("member"), (F.col("shortname") if e == "sales_sector" else F.lit(None).cast("string")).alias("name"))
+             for e in ("unit", "metric", "sales_sector")]
+    parts += [v.latest_batch(raw[f"sat_{e}"]).select(F.lit(e).alias("entity"), F.col(f"{e}_hk").alias("member"), F.col("fullname").alias("name"))
+              for e in ("value_type", "discreteness", "data_type")]
+    return reduce(DataFrame.unionByName, parts).distinct()
+
+
+def touched_keys(raw: Mapping[str, DataFrame], load_ts: str) -> DataFrame:
+    """revenue_hk of all revenue keys that share a group (year, road, center) with a key of this load."""
+    placed = raw["hub_revenue"].select("revenue_hk", "year", "load_date")
+    for entity in ("road", "medical_center"):
+        placed = placed.join(raw[f"link_{entity}"].select(f"{entity}_hk", "revenue_hk"), "revenue_hk")
+    placed = materialise(placed, "placed-keys")
+    groups = materialise(placed.where(F.col("load_date") == F.lit(load_ts).cast("timestamp_ntz")).select(*_GROUP).distinct(), "touched-groups")
+    on = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in _GROUP]
+    met = placed.join(groups.withColumnsRenamed({c: f"_{c}" for c in _GROUP}), on[0] & on[1] & on[2], "left_semi")
+    return met.select("revenue_hk").distinct()
+
+
+def load_business(spark: SparkSession, database: str, load_ts: str, rows_per_range: int = ROWS_PER_RANGE) -> Loaded:
+    """Bring the stored business aggregate up to the stored raw vault after the delivery of ``load_ts``.
+
+    Only groups (both grains) that share year, road and center with a delivered key are summed again; sums that stay as
+    they are keep their rows and load date, and groups that are gone are removed. Where the newest directory loads have
+    other members than those that the aggregate was made with, all groups are summed.
+    """
+    raw, name, members = stored_raw(spark, database), f"{database}.{BUSINESS_TABLE}", f"{database}.{BUSINESS_TABLE}_members"
+    now = materialise(_members(raw), "business-members")
+    same = sinks.exists(spark, name) and sinks.exists(spark, members) and difference(now, spark.table(members)).isEmpty() and difference(spark.table(members), now).isEmpty()
+    narrowed, keys = raw, None
+    if same:
+        keys = materialise(touched_keys(raw, load_ts), "touched-keys")
+        narrowed = {n: raw[n] for n in raw} | {n: raw[n].join(keys, "revenue_hk", "left_semi") for n in ("hub_revenue", "sat_revenue")}
+    sums = business_revenue(narrowed).select("*", *v.load_columns(load_ts, REVENUE_SOURCE))
+    grain = ["year", "month", *GRAIN_KEYS]
+    removed = None
+    if sinks.exists(spark, name):
+        removed = keyed_rows(spark, name).select(*grain)
+        if same:
+            placed = raw["hub_revenue"].select("revenue_hk", "year").join(keys, "revenue_hk", "left_semi")
+            for entity in ("road", "medical_center"):
+                placed = placed.join(raw[f"link_{entity}"].select(f"{entity}_hk", "revenue_hk"), "revenue_hk")
+            groups = placed.select(*[F.col(c).alias(f"_{c}") for c in _GROUP]).distinct()
+            on = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in _GROUP]
+            removed = removed.join(groups, on[0] & on[1] & on[2], "left_semi")
+    done = load_keyed(sums, name, grain, rows_per_range=rows_per_range, compare=["value"], removed=removed)
+    sinks.rebuild(now, members)
+    return done
+
+
+def _above(raw: Mapping[str, DataFrame], load_ts: str, store: Store) -> dict[str, Tables]:
+    business = business_vault(raw, load_ts, store)
+    marts = mart(business)
+    return {"bdv": business, "mart": marts, "report": Tables({name: lambda name=name: report(marts[name]) for name in marts})}
 
 
 def build(stage: Stage, load_ts: str, store: Store = materialise) -> dict[str, Tables]:
     """All layers from stage to report. ``store`` decides how shared results are kept."""
     raw = raw_vault(stage, load_ts, store)
-    business = business_vault(raw, load_ts, store)
-    marts = mart(business)
-    reports = Tables({name: lambda name=name: report(marts[name]) for name in marts})
-    return {"rdv": raw, "bdv": business, "mart": marts, "report": reports}
+    return {"rdv": raw, **_above(raw, load_ts, store)}

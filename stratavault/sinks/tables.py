@@ -1,8 +1,10 @@
-"""Table sinks and lifecycle: rebuild, append, keyed upsert, history append, views, layer names."""
+"""Table sinks and lifecycle: rebuild, append, upsert, history append, views, layer names."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from contextlib import contextmanager
+from threading import Lock
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -87,43 +89,37 @@ def upsert(df: DataFrame, name: str, keys: Sequence[str], order_by: Sequence[Col
     rebuild(upsert_by_key(current, df, keys, order_by), name)
 
 
-BUCKETS = 64
-BUCKET = "key_bucket"
+_writers = {"lock": Lock(), "count": 0, "before": None}
 
 
-def upsert_buckets(df: DataFrame, name: str, keys: Sequence[str], order_by: Sequence[Column] = (), buckets: int = BUCKETS) -> None:
-    """Load into a keyed table stored in ``buckets`` of its keys; only the buckets that ``df`` touches are written again.
-
-    The last write of a key wins; within one load the first row in the given order (by default by all columns).
-    """
-    spark = df.sparkSession
-    order = list(order_by) or [F.asc(f"`{c}`") for c in df.columns]
-    incoming = df.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
-    if not exists(spark, name):
-        fresh = upsert_by_key(incoming.limit(0), incoming, keys, order)
-        _writer(fresh, "errorifexists", partition_by=[BUCKET]).saveAsTable(name)
-        return
-    incoming = materialise(incoming, name.replace(".", "_"))
-    touched = [r[BUCKET] for r in incoming.select(BUCKET).distinct().collect()]  # one number per bucket
-    current = spark.table(name).where(F.col(BUCKET).isin(touched))
-    ready = materialise(upsert_by_key(current.select(*incoming.columns), incoming, keys, order), name.replace(".", "_"))
-    _replace_partitions(ready, name)
+@contextmanager
+def _dynamic_overwrite(spark: SparkSession):
+    """The session overwrites single partitions while any writer, of whatever thread, is in here."""
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    with _writers["lock"]:
+        if not _writers["count"]:
+            _writers["before"] = spark.conf.get(mode)
+            spark.conf.set(mode, "dynamic")
+        _writers["count"] += 1
+    try:
+        yield
+    finally:
+        with _writers["lock"]:
+            _writers["count"] -= 1
+            if not _writers["count"]:
+                spark.conf.set(mode, _writers["before"])
 
 
-def _replace_partitions(df: DataFrame, name: str) -> None:
+def replace_partitions(df: DataFrame, name: str) -> None:
     """Write ``df`` over the partitions of the table that it has rows for; the others stay."""
     spark = df.sparkSession
-    mode = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(mode)
-    spark.conf.set(mode, "dynamic")
-    try:
+    with _dynamic_overwrite(spark):
         df.select(*spark.table(name).columns).write.insertInto(name, overwrite=True)
-    finally:
-        spark.conf.set(mode, before)
 
 
-def append_history(df: DataFrame, name: str, full_refresh: bool = False) -> None:
-    """Add one load to a satellite, stored by load date, or start it anew. A load that comes again replaces its own rows.
+def append_history(df: DataFrame, name: str, full_refresh: bool = False, load_ts: str | None = None) -> None:
+    """Add one load to a satellite, stored by load date, or start it anew. A load that comes again replaces its own rows; with
+    ``load_ts`` also if it comes without any.
 
     A refresh computes the new content before it drops the old (partitioned tables are not renamed).
     """
@@ -135,7 +131,9 @@ def append_history(df: DataFrame, name: str, full_refresh: bool = False) -> None
         drop_table(spark, name)
         _writer(ready, "errorifexists", partition_by=["load_date"]).saveAsTable(name)
     else:
-        _replace_partitions(df, name)
+        replace_partitions(df, name)
+        if load_ts and spark.table(name).where(F.col("load_date") == F.lit(load_ts).cast("timestamp_ntz")).limit(1).count() and df.isEmpty():
+            spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION (load_date = TIMESTAMP_NTZ'{load_ts}')")
 
 
 def companion_view(spark: SparkSession, name: str) -> str:

@@ -9,6 +9,7 @@ from conftest import rows, values
 from pyspark.sql import functions as F
 
 from stratavault.plans import ingest
+from stratavault.sinks import keyed
 from stratavault.sinks import publish as pb
 from stratavault.sinks import tables as sink
 from stratavault.sources import files as fi
@@ -188,14 +189,56 @@ def test_a_load_that_comes_again_replaces_itself(spark, schema):
     assert rows(spark.table(name).groupBy("load_date").count().select("count")) == [(2,), (4,)]
 
 
-def test_keyed_table_in_buckets(spark, schema, frame):
+def test_keyed_table_grows_by_ranges(spark, schema):
     name = f"{schema}.keyed"
-    sink.upsert_buckets(frame("(1,'a'), (2,'b'), (2,'c'), (3,'d')", "k", "v"), name, ["k"], buckets=4)
-    before = {f.rsplit("/", 2)[1]: f for f in spark.table(name).inputFiles()}
-    sink.upsert_buckets(frame("(2,'z'), (2,'y')", "k", "v"), name, ["k"], buckets=4)
-    assert rows(spark.table(name).select("k", "v")) == [(1, "a"), (2, "y"), (3, "d")]
-    after = {f.rsplit("/", 2)[1]: f for f in spark.table(name).inputFiles()}
-    assert sum(before[b] != after[b] for b in before) == 1  # the bucket of key 2 alone is written again
+
+    def rows_of(low, high, value):
+        return spark.range(low, high).select((F.col("id") % 1000).alias("k"), F.lit(value).alias("v"), F.lit("t").alias("load"))
+
+    def files():
+        found = {}
+        for f in spark.table(name).inputFiles():
+            found.setdefault(f.rsplit("/", 2)[1], []).append(f)
+        assert all(len(f) == 1 for f in found.values())  # one file per range
+        return found
+
+    first = keyed.load_keyed(rows_of(0, 1500, "a"), name, ["k"], rows_per_range=100)
+    assert first.new == 1000 and 8 <= first.ranges_written <= 13
+    before = files()
+    assert len(before) == first.ranges_written
+    second = keyed.load_keyed(rows_of(500, 510, "b"), name, ["k"], rows_per_range=100)
+    after = files()
+    assert (second.changed, second.ranges_written) == (10, sum(before[r] != after[r] for r in before)) and second.ranges_written <= 2
+    third = keyed.load_keyed(rows_of(500, 520, "b").unionByName(rows_of(0, 400, "a")), name, ["k"], rows_per_range=100)
+    assert (third.new, third.changed, third.unchanged) == (0, 10, 410)
+    again = keyed.load_keyed(rows_of(0, 400, "a").withColumn("load", F.lit("u")), name, ["k"], rows_per_range=100, compare=["v"])
+    assert (again.unchanged, again.ranges_written) == (400, 0)
+    grown = keyed.load_keyed(spark.range(5000, 5600).select(F.col("id").alias("k"), F.lit("c").alias("v"), F.lit("t").alias("load")), name, ["k"], rows_per_range=100)
+    assert grown.new == 600 and len(files()) > len(after) + 3
+    assert rows(keyed.keyed_rows(spark, name).groupBy("v").count()) == [("a", 980), ("b", 20), ("c", 600)]
+    sizes = [r["count"] for r in spark.table(name).groupBy("key_range").count().collect()]
+    assert max(sizes) <= 250 and rows(spark.table(name + "__ranges").selectExpr("sum(rows)")) == [(1600,)]
+
+
+def test_keyed_table_order_nulls_removal_and_recovery(spark, schema, frame):
+    name = f"{schema}.keyed2"
+    keyed.load_keyed(frame("(1,'a'), (2,'b'), (2,'c'), (null,'d')", "k", "v"), name, ["k"], rows_per_range=1)
+    assert rows(keyed.keyed_rows(spark, name)) == [(1, "a"), (2, "b"), (None, "d")]
+    spark.sql(f"DROP TABLE {name}__ranges")  # as if the load had ended between the two tables
+    done = keyed.load_keyed(frame("(2,'z'), (null,'e'), (0,'n'), (9,'m')", "k", "v"), name, ["k"], [F.desc("v")], rows_per_range=1, removed=frame("(1), (2), (77)", "k"))
+    assert (done.new, done.changed, done.removed) == (2, 2, 1)
+    assert rows(keyed.keyed_rows(spark, name)) == [(0, "n"), (2, "z"), (9, "m"), (None, "e")]
+    keyed.load_keyed(frame("(1,'q')", "k", "v").where("false"), name, ["k"], rows_per_range=1, removed=frame("(0), (9), (2)", "k"))
+    keyed.load_keyed(frame("(-5,'x')", "k", "v"), name, ["k"], rows_per_range=1)
+    assert rows(keyed.keyed_rows(spark, name)) == [(-5, "x"), (None, "e")]
+
+
+def test_an_empty_reload_replaces_its_rows(spark, schema):
+    name, ts = f"{schema}.emptied", "2024-01-01 00:00:00"
+    load = spark.range(3).select("id", F.lit(ts).cast("timestamp_ntz").alias("load_date"))
+    sink.append_history(load, name, load_ts=ts)
+    sink.append_history(load.where("false"), name, load_ts=ts)
+    assert spark.table(name).count() == 0
 
 
 def test_scratch_is_released(spark, tmp_path):
