@@ -59,8 +59,8 @@ def distinct_with_counts(df: DataFrame, columns: Sequence[str], name: str = "_co
     return df.groupBy(*[F.col(f"`{c}`") for c in columns]).agg(F.count(F.lit(1)).alias(name))
 
 
-def expand_copies(df: DataFrame, name: str = "_copies") -> DataFrame:
-    """Repeat each row ``name`` times. Large repeats are cut into chunks that are spread over tasks; the chunks of one
+def expand_copies(df: DataFrame, name: str = "_copies", number: str | None = None) -> DataFrame:
+    """Repeat each row ``name`` times, with the ``number`` of the copy from 1 if a column for it is named. Large repeats are cut into chunks that are spread over tasks; the chunks of one
     row are made in two levels, so that no array grows with the number of copies."""
     kept = [F.col(f"`{c}`") for c in df.columns if c != name]
     block = EXPLODE_CHUNK * EXPLODE_CHUNK
@@ -73,7 +73,8 @@ def expand_copies(df: DataFrame, name: str = "_copies") -> DataFrame:
     chunks = blocks.withColumn("_in_block", in_block).withColumn("_chunk", ranges(F.col("_in_block"), EXPLODE_CHUNK))
     spread = chunks.repartition(*kept, "_block", "_chunk")  # a row per 10 000 copies, not the copies
     in_chunk = F.least(F.lit(EXPLODE_CHUNK).cast("bigint"), F.col("_in_block") - F.col("_chunk") * EXPLODE_CHUNK)
-    return spread.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), in_chunk))).select(*kept)
+    place = F.col("_block") * block + F.col("_chunk") * EXPLODE_CHUNK + F.col("_copy")
+    return spread.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), in_chunk))).select(*kept, *([place.alias(number)] if number else []))
 
 
 def with_neighbour(df: DataFrame, group: Sequence[str], order: Sequence[str], name: str,

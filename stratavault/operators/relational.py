@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from stratavault.functions.keys import ColumnLike, _column
 from stratavault.functions.scalars import slug
-from stratavault.operators.ordering import distinct_with_counts, numbered
+from stratavault.operators.ordering import distinct_with_counts, expand_copies, numbered
 
 
 def _quoted(name: str, alias: str | None = None) -> Column:
@@ -168,7 +168,7 @@ def results_as_columns(df: DataFrame) -> DataFrame:
     """A result column by column: one row (column_name, position, value) per cell, values as text, positions from 1 in
     the order of all columns (nulls first). Any number of rows; numbered slice by slice, never in one task."""
     folded = distinct_with_counts(df, df.columns)
-    copies = folded.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies"))))
+    copies = expand_copies(folded, number="_copy")
     ordered = numbered(copies.withColumn("_row", F.struct(*[_quoted(c) for c in df.columns], "_copy")), "_row", "position")
     texts = ordered.select("position", *[_quoted(c).cast("string").alias(c) for c in df.columns])
     return texts.unpivot(["position"], [_quoted(c) for c in df.columns], "column_name", "value")
