@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from stratavault.catalog.base import Query, table
-from stratavault.session import scratch_path
+from pyspark.sql import functions as F
+
+from stratavault.catalog.base import Query, own_database, table
+from stratavault.session import materialise, scratch_path
 from stratavault.sinks import publish as pb
+from stratavault.sinks.bulk import LoadRefused, bulk_load
 from stratavault.sources.tables import column_list, relations_by_pattern
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "labels", "pages",
@@ -53,6 +56,54 @@ def catalog_diff(spark, d):
     return names.join(pb.row_counts(pb.published(spark, folder)), "table_name", "left")
 
 
+def publish_verified(spark, d):
+    """Copies proven by content. One cell of a copy is changed afterwards: the check finds it, and the next sync copies that
+    table alone."""
+    folder, every = scratch_path(spark, "published"), tables(spark, d)
+    first = {e["table_name"]: e for e in pb.publish_verified(spark, every, folder)}
+    changed = materialise(every["nation"].withColumn("n_name", F.when(F.col("n_nationkey") == 3, "x").otherwise(F.col("n_name"))), "changed")
+    pb.copy_files(changed, folder, "nation")
+    found = pb.differing(spark, every, folder)
+    second = {e["table_name"]: e["status"] for e in pb.publish_verified(spark, every, folder)}
+    rows = [(n, e["status"], e["target_rows"], n in found, second[n], not pb.differing(spark, {n: every[n]}, folder)) for n, e in first.items()]
+    return spark.createDataFrame(rows, "table_name string, status string, row_count bigint, damaged boolean, again string, same boolean")
+
+
+def bulk_load_filtered(spark, d):
+    """Documents as delimited lines, three tenths of them broken: the rows that were loaded, and the counts of that load and of
+    one that was refused."""
+    path = scratch_path(spark, "delimited")
+    n, key = F.col("doc_id"), F.col("doc_id").cast("string")
+    text = F.translate(F.coalesce("text", F.lit("")), "\n\r|\\\"", "     ")
+    fields = [F.coalesce(c, F.lit("")) for c in ("lang", "source")]
+    size = F.coalesce(F.col("n_chars").cast("string"), F.lit(""))
+    line = (F.when(n % 10 == 0, F.concat_ws("|", key, *fields)).when(n % 10 == 1, F.concat_ws("|", key, *fields, size, text, F.lit("more")))
+            .when(n % 10 == 2, F.concat_ws("|", key, *fields, F.lit("many"), text)).otherwise(F.concat_ws("|", key, *fields, size, text)))
+    table(spark, d, "documents").select(line.alias("value")).write.text(path)
+    schema = "doc_id bigint, lang string, source string, n_chars bigint, text string"
+    with own_database(spark) as database:
+        done = bulk_load(spark, path, f"{database}.docs", schema, "one", max_filter_ratio=0.5)
+        try:
+            bulk_load(spark, path, f"{database}.strict", schema, "one", max_filter_ratio=0.1)
+            refused = None
+        except LoadRefused as refusal:
+            refused = refusal.load
+        kept = spark.table(f"{database}.docs__filtered").count()
+        there = spark.catalog.tableExists(f"{database}.strict")
+        rows = materialise(spark.table(f"{database}.docs").drop("load_label"), "bulk")
+    counts = [(done.loaded, "loaded", str(done.filtered), done.total, str(kept)), (refused.loaded, "refused", str(refused.filtered), refused.total, str(there))]
+    return rows.unionByName(spark.createDataFrame(counts, schema))
+
+
+BULK_SQL = """
+WITH lines AS (SELECT doc_id, nullif(lang, '') AS lang, nullif(source, '') AS source, n_chars, nullif(translate(coalesce(text, ''), chr(10) || chr(13) || '|' || chr(92) || '"', '     '), '') AS text,
+  doc_id % 10 > 2 AS fits FROM documents)
+SELECT doc_id, lang, source, n_chars, text FROM lines WHERE fits
+UNION ALL SELECT count(*) FILTER (fits), 'loaded', CAST(count(*) FILTER (NOT fits) AS VARCHAR), count(*), CAST(count(*) FILTER (NOT fits) AS VARCHAR) FROM lines
+UNION ALL SELECT count(*) FILTER (fits), 'refused', CAST(count(*) FILTER (NOT fits) AS VARCHAR), count(*), 'False' FROM lines
+"""
+
+
 # Expected serving types by column kind.
 KINDS = {"list": "VARCHAR(255)", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE PRECISION", "text": "TEXT", "time": "TIMESTAMP"}
 COLUMNS = {
@@ -83,6 +134,10 @@ def _per_column(make) -> str:
 
 
 QUERIES = {
+    "publish_verified": Query(publish_verified, " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, 'success' AS status, count(*) AS row_count, {str(t == 'nation').lower()} AS damaged, "
+        f"'{'success' if t == 'nation' else 'kept'}' AS again, true AS same FROM {t}" for t in TABLES)),
+    "bulk_load_filtered": Query(bulk_load_filtered, BULK_SQL),
     "catalog_columns": Query(catalog_columns, _per_column(
         lambda t, i, c, k: f"SELECT '{t}' AS table_name, {i} AS position, '{c}' AS column_name, count({c}) AS filled FROM {t}")),
     "type_mapping": Query(type_mapping, _per_column(
