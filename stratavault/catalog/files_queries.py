@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratavault.catalog.base import Query, table
+from stratavault.catalog.base import Query, own_database, table
 from stratavault.functions.parsing import file_name_parts, is_workbook_name, table_name
-from stratavault.session import list_folder, scratch_path
+from stratavault.plans import lifecycle
+from stratavault.session import delete_path, list_folder, materialise, move_path, scratch_path
 from stratavault.sources import files as fi
 
 
@@ -60,14 +63,88 @@ def file_parse(spark, d):
 
 
 def stored_listing(spark, d):
-    """Documents stored as one file per language in nested folders: what the listing finds, and the rows it leads to."""
+    """Documents stored in nested folders, a folder per language, with the partitions that the table has: whether the listing
+    finds files with bytes in a folder, and the rows that these hold."""
     root = scratch_path(spark, "objects")
     docs = table(spark, d, "documents").withColumns({"store": F.concat(F.lit("b"), F.length("lang") % 2), "language": F.col("lang")})
-    docs.repartition("store", "language").write.partitionBy("store", "language").parquet(root)
+    docs.write.partitionBy("store", "language").parquet(root)
     buckets = [n for n in list_folder(spark, root) if n.startswith("store=")]
     listed = fi.list_objects(spark, root, buckets, "*.parquet").where("size > 0").select("bucket", F.substring_index("key", "/", 1).alias("folder"))
     rows = spark.read.parquet(root).groupBy(F.concat(F.lit("language="), F.col("language")).alias("folder")).agg(F.count(F.lit(1)).alias("n_rows"))
-    return listed.groupBy("bucket", "folder").agg(F.count(F.lit(1)).alias("n_files")).join(rows, "folder")
+    return listed.groupBy("bucket", "folder").agg((F.count(F.lit(1)) > 0).alias("has_files")).join(rows, "folder")
+
+
+FILE_PARTS = 4
+
+
+def put_files(spark, df: DataFrame, root: str) -> None:
+    """Write the texts of documents as files ``<source> <part>.v1_--_user_--_<id>.<extension>`` in a bucket per language: each
+    file by one task, a language and source by several."""
+    landing = scratch_path(spark, "landing")
+    part = F.pmod(F.col("doc_id"), F.lit(FILE_PARTS))
+    extension = F.when(F.col("source") == "src4", "csv").otherwise("xlsx")
+    name = F.concat("source", F.lit(" "), part.cast("string"), F.lit(".v1_--_user_--_00000000-0000-0000-0000-00000000000"), part.cast("string"), F.lit("."), extension)
+    files = df.select(F.col("lang").alias("bucket"), name.alias("name"), F.coalesce("text", F.lit("")).alias("value"))
+    files.repartition("bucket", "name").write.partitionBy("bucket", "name").text(landing)
+    for bucket in (b for b in list_folder(spark, landing) if b.startswith("bucket=")):
+        for folder in list_folder(spark, f"{landing}/{bucket}"):
+            for file in list_folder(spark, f"{landing}/{bucket}/{folder}"):
+                if file.startswith("part-"):
+                    move_path(spark, f"{landing}/{bucket}/{folder}/{file}", f"{root}/{bucket.split('=')[1]}/{folder.split('=', 1)[1].replace('%20', ' ')}")
+
+
+def file_lifecycle(spark, d):
+    """Three runs over real files, the state of each carried to the next: all sources but one; then that one has come, one has
+    changed and one has gone; then nothing has changed. Classes by run, the files' last log entries, and versions kept."""
+    root = scratch_path(spark, "store")
+    docs = table(spark, d, "documents").select("doc_id", "lang", "source", "text")
+    outcomes = []
+    with own_database(spark) as database:
+        for number in (1, 2, 3):
+            if number == 1:
+                put_files(spark, docs.where("source <> 'src0'"), root)
+                buckets = list_folder(spark, root)
+            elif number == 2:
+                for bucket in buckets:
+                    for file in list_folder(spark, f"{root}/{bucket}"):
+                        if file.startswith(("src1 ", "src2 ")):
+                            delete_path(spark, f"{root}/{bucket}/{file}")
+                put_files(spark, docs.where("source = 'src0'"), root)
+                put_files(spark, docs.where("source = 'src1'").withColumn("text", F.concat(F.coalesce("text", F.lit("")), F.lit(" again"))), root)
+            outcome = lifecycle.run(spark, root, list_folder(spark, root), database, f"2024-01-0{number} 00:00:00")
+            outcomes.append(outcome.select(F.lit(f"run {number}").alias("what"), "bucket", "file_name", "size", "status"))
+        log = lifecycle.current_status(spark, database).select(F.lit("log").alias("what"), "bucket", "file_name", F.lit(None).cast("bigint").alias("size"), "status")
+        versions = lifecycle.known_versions(spark, database).groupBy("bucket", "file_name").agg(F.count(F.lit(1)).alias("size"))
+        kept = versions.select(F.lit("kept").alias("what"), "bucket", "file_name", "size", F.lit("").alias("status"))
+        return materialise(reduce(DataFrame.unionByName, [*outcomes, log, kept]), "lifecycle")
+
+
+LIFECYCLE_SQL = """
+WITH parts AS (SELECT lang AS bucket, source, source || ' ' || (doc_id % 4) || '.v1.' || CASE source WHEN 'src4' THEN 'csv' ELSE 'xlsx' END AS file_name,
+  CAST(sum(strlen(coalesce(text, '')) + 1) AS BIGINT) AS size, count(*) AS n FROM documents GROUP BY ALL),
+runs AS (
+  SELECT 'run 1' AS what, *, CASE source WHEN 'src4' THEN 'error' ELSE 'new' END AS status FROM parts WHERE source <> 'src0'
+  UNION ALL SELECT 'run 2', * REPLACE (CASE source WHEN 'src1' THEN CAST(size + 6 * n AS BIGINT) ELSE size END AS size),
+    CASE source WHEN 'src4' THEN 'error' WHEN 'src0' THEN 'new' WHEN 'src1' THEN 'changed' WHEN 'src2' THEN 'missing' ELSE 'no_changed' END FROM parts
+  UNION ALL SELECT 'run 3', * REPLACE (CASE source WHEN 'src1' THEN CAST(size + 6 * n AS BIGINT) ELSE size END AS size),
+    CASE source WHEN 'src4' THEN 'error' ELSE 'no_changed' END FROM parts WHERE source <> 'src2')
+SELECT what, bucket, file_name, size, status FROM runs
+UNION ALL SELECT 'log', bucket, file_name, NULL, CASE source WHEN 'src4' THEN 'processing_failed' ELSE 'processing_completed' END FROM parts
+UNION ALL SELECT 'kept', bucket, file_name, CASE source WHEN 'src1' THEN 2 ELSE 1 END, '' FROM parts WHERE source NOT IN ('src2', 'src4')
+"""
+
+
+def object_bytes(spark, d):
+    """The texts of pages stored as files, read back as objects with their bytes: bytes and lines of each part."""
+    root = scratch_path(spark, "bytes")
+    table(spark, d, "pages").select(F.regexp_replace(F.coalesce("html", F.lit("")), "[\\n\\r]", " ").alias("value"), F.pmod("page_id", F.lit(8)).alias("part")).repartition("part").write.partitionBy("part").text(root)
+    found = None
+    for part in (n for n in list_folder(spark, root) if n.startswith("part=")):
+        one = fi.read_object(spark, f"{root}/{part}").select(F.lit(int(part[5:])).cast("bigint").alias("part"), "length", F.octet_length("content").alias("bytes"),
+                                                             F.size(F.split(F.decode("content", "UTF-8"), "\n")).alias("lines"))
+        found = one if found is None else found.unionByName(one)
+    return found.groupBy("part").agg(F.sum("bytes").cast("bigint").alias("n_bytes"), (F.sum("bytes") == F.sum("length")).alias("whole"),
+                                     F.sum(F.col("lines") - 1).cast("bigint").alias("n_lines"))
 
 
 OBJECTS = """objects AS (SELECT page_id, 'bucket' || (page_id % 3) AS bucket, page_id % 8 <> 7 AS good,
@@ -84,8 +161,11 @@ older AS (SELECT * REPLACE ('old ' || key AS key, last_modified - INTERVAL 1 DAY
 gone AS (SELECT * REPLACE ('gone ' || file_name AS file_name) FROM listing WHERE page_id % 10 = 3)"""
 
 QUERIES = {
-    "file_listing_store": Query(stored_listing, """SELECT 'store=b' || (length(lang) % 2) AS bucket, 'language=' || lang AS folder, CAST(1 AS BIGINT) AS n_files,
+    "file_listing_store": Query(stored_listing, """SELECT 'store=b' || (length(lang) % 2) AS bucket, 'language=' || lang AS folder, true AS has_files,
 count(*) AS n_rows FROM documents GROUP BY lang"""),
+    "file_lifecycle": Query(file_lifecycle, LIFECYCLE_SQL),
+    "object_bytes": Query(object_bytes, """SELECT page_id % 8 AS part, CAST(sum(strlen(coalesce(html, '')) + 1) AS BIGINT) AS n_bytes, true AS whole, count(*) AS n_lines
+FROM pages GROUP BY ALL"""),
     "file_listing": Query(lambda s, d: fi.describe(objects(s, d)), f"WITH {OBJECTS} SELECT * EXCLUDE (page_id) FROM listing"),
     "file_parse": Query(file_parse, f"""WITH {OBJECTS} SELECT page_id, file_name, user_name, guid, table_name,
 lower(file_name) LIKE '%.xls' OR lower(file_name) LIKE '%.xlsx' AS is_workbook FROM listing"""),

@@ -64,6 +64,15 @@ def list_folder(spark: SparkSession, path: str) -> list[str]:
     return sorted(f.getPath().getName() for f in store.listStatus(place)) if store.exists(place) else []
 
 
+def move_path(spark: SparkSession, source: str, target: str) -> None:
+    """Give a file or folder another name in its store, and make the folders above it."""
+    old, new = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (source, target))
+    store = old.getFileSystem(spark._jsc.hadoopConfiguration())
+    store.mkdirs(new.getParent())
+    if not store.rename(old, new):
+        raise OSError(f"cannot move {source} to {target}")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder, to be deleted by :func:`release`."""
     path = os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")

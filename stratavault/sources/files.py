@@ -90,6 +90,12 @@ def without_keys(metadata: DataFrame, removed: DataFrame) -> DataFrame:
     return metadata.join(removed.select("bucket", "key").distinct(), ["bucket", "key"], "left_anti")
 
 
+def without_keys_and_times(metadata: DataFrame, removed: DataFrame) -> DataFrame:
+    """The metadata after deleting the given versions; a key may be rewritten in place, so its time tells versions apart."""
+    version = ["bucket", "key", "last_modified"]
+    return metadata.join(removed.select(*version).distinct(), version, "left_anti")
+
+
 def latest_status(log: DataFrame) -> DataFrame:
     """Current status of every file; ``log`` has ``bucket, file_name, status, logged_at, entry``."""
     return nth_per_key(log, FILE_KEY, [F.desc("logged_at"), F.desc("entry")])

@@ -1,15 +1,10 @@
 from stratavault.catalog import files_queries
 
 
-def test_languages_are_written_by_different_tasks(spark, tmp_path, monkeypatch):
+def test_a_language_is_written_by_the_partitions_of_the_table(spark, tmp_path, monkeypatch):
     root = str(tmp_path / "objects")
     monkeypatch.setattr(files_queries, "scratch_path", lambda *_: root)
-    spark.range(400).selectExpr("id AS doc_id", "concat('text ', id) AS text", "concat('l', id % 20) AS lang").write.parquet(str(tmp_path / "documents.parquet"))
-    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
-        found = files_queries.stored_listing(spark, str(tmp_path)).collect()
-    finally:
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
-    assert len(found) == 20 and {(r.n_files, r.n_rows) for r in found} == {(1, 20)}
-    assert len({p.name.split("-")[1] for p in (tmp_path / "objects").rglob("part-*.parquet")}) > 1
+    spark.range(400).selectExpr("id AS doc_id", "concat('text ', id) AS text", "concat('l', id % 20) AS lang").repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    found = files_queries.stored_listing(spark, str(tmp_path)).collect()
+    assert len(found) == 20 and {(r.has_files, r.n_rows) for r in found} == {(True, 20)}
+    assert len(list((tmp_path / "objects" / "store=b0" / "language=l0").glob("*.parquet")) + list((tmp_path / "objects" / "store=b0").glob("language=*/*.parquet"))) > 20
