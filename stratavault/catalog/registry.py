@@ -7,13 +7,14 @@ from stratavault.catalog import (
     publish_queries,
     quality_queries,
     relational_queries,
+    storage_queries,
     stream_queries,
     typing_queries,
     vault_queries,
 )
 from stratavault.catalog.base import Query
 
-MODULES = (vault_queries, relational_queries, typing_queries, stream_queries, files_queries, publish_queries, quality_queries)
+MODULES = (vault_queries, relational_queries, typing_queries, stream_queries, files_queries, publish_queries, quality_queries, storage_queries)
 
 
 def all_queries() -> dict[str, Query]:
