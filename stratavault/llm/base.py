@@ -7,6 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stratavault.operators.ordering import expand_copies
 from stratavault.session import materialise
 
 #: Word and blank classes of all operators: ASCII blanks only, so other Unicode spaces are part of words.
@@ -42,10 +43,13 @@ def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], salt: Co
     return joined.join(renamed, on[0], how).drop("_salt", "_r_salt", *[f"_r_{k}" for k in keys])
 
 
-def repeated(df: DataFrame, copies: str) -> DataFrame:
-    """Each row ``copies`` times."""
+def repeated(df: DataFrame, copies: str, number: str | None = None) -> DataFrame:
+    """Each row ``copies`` times, with the ``number`` of the copy from 1 if a column for it is named. ``df`` is stored, so that
+    it is computed once; only rows that repeat are dealt out, in chunks."""
+    stored = materialise(df, "folded")
     kept = [c for c in df.columns if c != copies]
-    return df.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(copies)))).select(*kept)
+    single = stored.where(F.col(copies) == 1).select(*kept, *([F.lit(1).cast("bigint").alias(number)] if number else []))
+    return single.unionByName(expand_copies(stored.where(F.col(copies) > 1), copies, number))
 
 
 def tree(parts: Sequence[Column], join: Callable[[Column, Column], Column]) -> Column:

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratavault.llm.base import by_size, hot_join, marked, only, salted_join, small_batches
+from stratavault.llm.base import by_size, hot_join, marked, only, repeated, salted_join, small_batches
 from stratavault.session import materialise
 
 #: Two primes below 2**31 and a base for each.
@@ -194,9 +194,9 @@ def _stays() -> Column:
 def duplicates(documents: DataFrame, **options) -> DataFrame:
     """One row per row of ``documents``: doc_id, keep_id, group_size, kept, text_sha256 (of the normalised text). Of rows
     that repeat in doc_id and text one is kept at most."""
-    found = classes(documents, **options).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("rows"))))
-    return found.select("doc_id", F.col("first.doc_id").alias("keep_id"), "group_size", (_stays() & (F.col("_copy") == 1)).alias("kept"),
-                        F.col("sha256").alias("text_sha256"))
+    found = classes(documents, **options).select("doc_id", F.col("first.doc_id").alias("keep_id"), "group_size", _stays().alias("_stays"),
+                                                 F.col("sha256").alias("text_sha256"), "rows")
+    return repeated(found, "rows", "_copy").select("doc_id", "keep_id", "group_size", (F.col("_stays") & (F.col("_copy") == 1)).alias("kept"), "text_sha256")
 
 
 def deduplicated(documents: DataFrame, text: str = "text", **options) -> DataFrame:

@@ -1,7 +1,8 @@
 """Mixing sources to target weights by pivotal dependent rounding.
 
-Every document of a source should be taken ``target / source_size`` times. The whole part is certain; the fraction is
-rounded dependently: two documents meet, words are moved from one to the other at random until one of the two
+Every document of a source should be taken ``target / source_size`` times. The whole part is certain. Of ``R`` rows that are
+equal in id, source and text ``floor(R * fraction)`` are taken once more for certain, so that at most one row's worth
+of them is open. What is open is rounded dependently: two documents meet, words are moved from one to the other at random until one of the two
 fractions is 0 or 1, and the other one meets the next, smaller document. Expectations stay, and the words of a source stay
 what they were but for the last document. Documents meet inside blocks of bounded size, the residual of each block
 goes up to the next level, and so on up the reduction tree; levels grow with the logarithm of the largest source.
@@ -11,7 +12,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratavault.llm.base import BROADCAST_ROWS, by_size, repeated, salted_join, whole, words
@@ -26,7 +27,7 @@ _NEAR = 1e-12
 
 
 def sized(documents: DataFrame, text: str = "text") -> DataFrame:
-    """doc_id, source, size (words), _mark (a hash of the text), rows: equal rows folded, as they are decided together."""
+    """doc_id, source, size (words), _mark (a hash of the text), rows: equal rows folded."""
     rows = documents.select("doc_id", "source", F.size(words(whole(text))).cast("bigint").alias("size"),
                             F.xxhash64(text).alias("_mark"))
     return rows.groupBy("doc_id", "source", "size", "_mark").agg(F.count(F.lit(1)).alias("rows"))
@@ -115,11 +116,12 @@ def rounded(units: DataFrame, block: int = BLOCK, seed: int = SEED) -> DataFrame
 
 def decide(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, block: int = BLOCK,
            seed: int = SEED, text: str = "text", most_sources: int = BROADCAST_ROWS) -> DataFrame:
-    """One row per distinct (doc_id, source, text): doc_id, source, _mark, rows, size, source_size, target, copies.
+    """One row per distinct (doc_id, source, text): doc_id, source, _mark, rows, size, source_size, target, copies, more.
 
-    ``copies`` is how often each of the ``rows`` is taken, at most ``most`` times. Null texts have size 0, and texts
-    without words are not taken; null sources form a source of their own; null doc_ids are kept; rows equal in
-    doc_id, source and text are decided together; an empty table gives none. Other columns are not read. The targets of
+    ``copies`` is how often each of the ``rows`` is taken, and ``more`` of them once more; at most ``most`` times in all.
+    However often a row repeats, a source misses its target by one copy of its last document at most. Null texts have size
+    0, and texts without words are not taken; null sources form a source of their own; null doc_ids are kept; an empty
+    table gives none. Other columns are not read. The targets of
     up to ``most_sources`` sources are sent to every executor; more of them are joined in a salted shuffle.
     """
     units = materialise(sized(documents, text), "mix-units")
@@ -133,27 +135,49 @@ def decide(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int =
     joined = joined.withColumn("_rate", F.least(rate + _NEAR, F.lit(float(most))))
     split = joined.withColumns({"_sure": F.floor("_rate"), "_p": F.col("_rate") - F.floor("_rate")})
     split = split.withColumn("_p", F.when((F.col("_p") < 2 * _NEAR) | (F.col("size") == 0), 0.0).otherwise(F.col("_p")))
-    facts = materialise(split.select("doc_id", "source", "_mark", "rows", "size", "source_size", "target", "units", "_sure", "_p"), "mix-facts")
-    open_units = facts.where("_p > 0").select("doc_id", "source", F.col("_mark").alias("mark"), (F.col("size") * F.col("rows")).alias("mass"),
-                                              F.col("_p").alias("p"), "units")
+    wanted = F.col("rows") * F.col("_p")
+    split = split.withColumns({"_more": F.floor(wanted + _NEAR), "_open": F.greatest(wanted - F.floor(wanted + _NEAR), F.lit(0.0))})
+    split = split.withColumn("_open", F.when(F.col("_open") < 2 * _NEAR, 0.0).otherwise(F.col("_open")))
+    facts = materialise(split.select("doc_id", "source", "_mark", "rows", "size", "source_size", "target", "units", "_sure", "_more", "_open"), "mix-facts")
+    open_units = facts.where("_open > 0").select("doc_id", "source", F.col("_mark").alias("mark"), F.col("size").alias("mass"), F.col("_open").alias("p"), "units")
     bits = rounded(open_units, block, seed).select(
         F.col("doc_id").alias("_d"), F.col("source").alias("_s"), F.col("mark").alias("_m"), F.col("p").alias("_bit"))
     on = F.col("doc_id").eqNullSafe(F.col("_d")) & F.col("source").eqNullSafe(F.col("_s")) & (F.col("_mark") == F.col("_m"))
-    copies = F.when(F.col("size") == 0, 0).otherwise(F.col("_sure") + F.coalesce("_bit", F.lit(0.0))).cast("bigint")
-    return facts.join(bits, on, "left").select("doc_id", "source", "_mark", "rows", "size", "source_size", "target", copies.alias("copies"))
+    taken = lambda c: F.when(F.col("size") == 0, 0).otherwise(c).cast("bigint")
+    return facts.join(bits, on, "left").select("doc_id", "source", "_mark", "rows", "size", "source_size", "target", taken(F.col("_sure")).alias("copies"),
+                                               taken(F.col("_more") + F.coalesce("_bit", F.lit(0.0))).alias("more"))
 
 
 def mixed(documents: DataFrame, **options) -> DataFrame:
     """One row per row of ``documents``: doc_id, size, source_size, target, taken (words, repeats counted)."""
-    found = decide(documents, **options).select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "rows")
-    return repeated(found, "rows")
+    found = repeated(decide(documents, **options).select("doc_id", "size", "source_size", "target", "copies", "more", "rows"), "rows", "_copy")
+    once_more = (F.col("_copy") <= F.col("more")).cast("bigint")
+    return found.select("doc_id", "size", "source_size", "target", ((F.col("copies") + once_more) * F.col("size")).alias("taken"))
 
 
 def take(documents: DataFrame, text: str = "text", **options) -> DataFrame:
     """The rows of ``documents`` that the mix takes, all columns, with ``copies``: how often each is to be read.
-    A column of that name gives way."""
-    decided = decide(documents, text=text, **options).where("copies > 0").select(
-        F.col("doc_id").alias("_d"), F.col("source").alias("_s"), F.col("_mark").alias("_m"), F.col("copies").alias("_copies"))
+    A column of that name gives way. Of rows equal in id, source and text, those with the least hashes are read more often."""
+    decided = decide(documents, text=text, **options).where("copies > 0 OR more > 0").select(
+        F.col("doc_id").alias("_d"), F.col("source").alias("_s"), F.col("_mark").alias("_m"), "rows", F.col("copies").alias("_copies"), F.col("more").alias("_more"))
+    decided = materialise(decided, "mix-decided")
     kept = [c for c in documents.columns if c != "copies"]
     on = (F.col("doc_id").eqNullSafe(F.col("_d")) & F.col("source").eqNullSafe(F.col("_s")) & (F.xxhash64(text) == F.col("_m")))
-    return documents.join(by_size(materialise(decided, "mix-decided")), on).select(*kept, F.col("_copies").alias("copies"))
+    single = decided.where("rows = 1").drop("rows")
+    found = documents.join(by_size(single), on).select(*kept, (F.col("_copies") + F.col("_more")).alias("copies"))
+    several = decided.where("rows > 1").drop("rows")
+    if several.isEmpty():
+        return found
+    # rows that repeat are numbered by the partitions in which they were stored, never all in one task
+    unit = ["_d", "_s", "_m"]
+    rows = documents.select(*kept).withColumns({"_part": F.spark_partition_id(), "_order": F.xxhash64(*kept)}).join(by_size(several), on)
+    stored = materialise(rows, "mix-repeated")
+    sizes = stored.groupBy(*unit, "_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy(*unit).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = sizes.select(*[F.col(c).alias(f"_o{c}") for c in (*unit, "_part")], F.coalesce(before, F.lit(0)).alias("_before"))
+    same = F.lit(True)
+    for c in (*unit, "_part"):
+        same = same & F.col(c).eqNullSafe(F.col(f"_o{c}"))
+    placed = stored.withColumn("_rn", F.row_number().over(Window.partitionBy(*unit, "_part").orderBy("_order"))).join(offsets, same)
+    copies = F.col("_copies") + (F.col("_rn") + F.col("_before") <= F.col("_more")).cast("bigint")
+    return found.unionByName(placed.select(*kept, copies.alias("copies")).where("copies > 0"))

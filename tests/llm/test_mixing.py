@@ -68,3 +68,25 @@ def test_nulls_blank_texts_repeats_and_extra_columns(docs, clashing):
 def test_empty_table(docs):
     frame = docs((1, "a")).where("false")
     assert mixing.mixed(frame).collect() == [] and mixing.take(frame).collect() == []
+
+
+@pytest.mark.parametrize("share", [3, 2])
+def test_a_row_that_repeats_is_spread_over_its_copies(docs, share):
+    """A third and two thirds of all words in one row that repeats: the target is met within one copy of a document."""
+    rng = random.Random(8)
+    rows = [(i, "w " * rng.randint(1, 60), "a") for i in range(400)]
+    words = sum(len(t.split()) for _, t, _ in rows)
+    rows += [(1000, "w " * 50, "a")] * (words // 50 * (share - 1) // (1 if share == 3 else 2) + 1)
+    rows += [(2000 + i, "w " * 40, "b") for i in range(len(rows) // 3)]
+    frame = docs(*rows, partitions=5)
+    found = mixing.mixed(frame).collect()
+    assert len(found) == len(rows)
+    for source in ("a", "b"):
+        mine = [r for r in found if (r.doc_id >= 2000) == (source == "b")]
+        assert abs(sum(r.taken for r in mine) - mine[0].target) <= 61 and all(r.taken <= 3 * r["size"] for r in mine)
+    again = mixing.mixed(frame.repartition(3)).collect()
+    assert sorted(map(tuple, again)) == sorted(map(tuple, found))
+    read = mixing.take(frame).collect()
+    assert sum(r.copies * len(r.text.split()) for r in read) == sum(r.taken for r in found)
+    repeats = [r.copies for r in read if r.doc_id == 1000]
+    assert not repeats or max(repeats) - min(repeats) <= 1
