@@ -161,6 +161,6 @@ def lasting_ids(names: DataFrame, known: DataFrame | None, name_column: str, id_
     same = F.col(name_column).eqNullSafe(F.col("_name"))
     old = distinct.join(kept, same).select(name_column, F.col(id_column).cast("bigint").alias(id_column))
     unseen = distinct.join(kept.select("_name"), same, "left_anti")
-    highest = F.coalesce(kept.agg(F.max(id_column)).scalar(), F.lit(0))
+    highest = F.coalesce(known.agg(F.max(id_column)).scalar(), F.lit(0))
     new = numbered(unseen, name_column, "_place").select(name_column, (F.col("_place") + highest).cast("bigint").alias(id_column))
     return old.unionByName(new)
