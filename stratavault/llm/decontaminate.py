@@ -3,15 +3,19 @@
 Every start in every text is the start of a window of each item's size. Windows that cannot reach the similarity are
 left out first, without loss: a window needs a certain number of shingles of the item, and of all windows with the
 same shared shingles the best one starts at such a shingle (or is the last of the text). The windows that remain get a
-64-bit SimHash. The fingerprint of an item is kept under eight blocks of eight bits with every value within two bits
-of it; fingerprints within 23 bits agree with one of these (8 blocks of 3 differences would make 24), so the equi-join
-on blocks finds all of them. Candidates are verified by the weighted Jaccard similarity of the shingles, the weight of
-a shingle being the number of times it occurs.
+64-bit SimHash. Candidates are verified by the weighted Jaccard similarity of the shingles, the weight of a shingle
+being the number of times it occurs.
+
+No fixed Hamming radius holds all pairs: where an item repeats few shingles, many of its bits are ties or nearly so, and
+a single other word turns them. So each item states which of its bits are certain. A window at the similarity differs
+from the item in at most ``(1 - s) / (1 + s)`` of the shingles of both, and each of these moves the count behind a bit
+by one; bits that are decided by more than that are equal in every such window, and all others are free. The radius of
+an item is the number of its free bits, and no pair beyond the similarity lies outside it.
 """
 
 from __future__ import annotations
 
-from itertools import combinations
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,8 +25,6 @@ from stratavault.session import materialise
 
 SHINGLE = 5
 SIMILARITY = 0.8
-BLOCKS, WIDTH, NEAR = 8, 8, 2
-RADIUS = BLOCKS * (NEAR + 1) - 1
 #: Item shingles up to this number are sent to every executor; more of them take a shuffle join.
 BROADCAST_SHINGLES = 1_000_000
 _LANE = 0x0000000100000001
@@ -36,8 +38,9 @@ def _shingles(tokens: Column, width: int) -> Column:
         F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda i: F.xxhash64(*[F.get(tokens, i + j) for j in range(width)])))
 
 
-def simhash(hashes: Column) -> Column:
-    """64-bit majority fingerprint of an array of hashes, repeats included. Two bits are counted in each of 32 sums."""
+def _flags(hashes: Column, test: Callable[[Column, Column], Column]) -> Column:
+    """64 bits, each the ``test`` of how many of the ``hashes`` have it, and of their number. Two bits are counted in each
+    of 32 sums."""
     zero = F.struct(*[F.lit(0).cast("bigint").alias(f"l{k}") for k in range(32)])
     lanes = F.aggregate(hashes, zero, lambda a, h: F.struct(*[
         (a[f"l{k}"] + F.shiftrightunsigned(h, k).bitwiseAND(F.lit(_LANE))).alias(f"l{k}") for k in range(32)]),
@@ -48,24 +51,31 @@ def simhash(hashes: Column) -> Column:
         set_bits = []
         for k in range(32):
             lane = F.get(sums, F.lit(k))
-            set_bits.append(F.when(lane.bitwiseAND(F.lit(_LOW)) * 2 > count, F.lit(1 << k)).otherwise(F.lit(0)).cast("bigint"))
-            set_bits.append(F.when(F.shiftrightunsigned(lane, 32) * 2 > count, F.lit((1 << k + 32) - (1 << 64) * (k == 31))).otherwise(F.lit(0)).cast("bigint"))
+            set_bits.append(F.when(test(lane.bitwiseAND(F.lit(_LOW)), count), F.lit(1 << k)).otherwise(F.lit(0)).cast("bigint"))
+            set_bits.append(F.when(test(F.shiftrightunsigned(lane, 32), count), F.lit((1 << k + 32) - (1 << 64) * (k == 31))).otherwise(F.lit(0)).cast("bigint"))
         return tree(set_bits, lambda a, b: a.bitwiseOR(b))
     return F.element_at(F.transform(F.array(lanes), bits), 1)
 
 
-def _block(fp: Column, block: int) -> Column:
-    return F.shiftrightunsigned(fp, block * WIDTH).bitwiseAND(F.lit((1 << WIDTH) - 1)).cast("int")
+def simhash(hashes: Column) -> Column:
+    """64-bit majority fingerprint of an array of hashes, repeats included."""
+    return _flags(hashes, lambda ones, count: ones * 2 > count)
+
+
+def certain(hashes: Column, similarity: float) -> Column:
+    """The bits of ``simhash`` that every window with at least that similarity, and at most as many hashes, shares."""
+    return _flags(hashes, lambda ones, count: F.abs(ones * 2 - count) > F.floor(2 * count * F.lit((1 - similarity) / (1 + similarity)) + F.lit(1e-9)))
 
 
-def benchmark_items(benchmark: DataFrame, text: str = "text") -> DataFrame:
-    """item_id, _item (a hash of id and text), width (words in a shingle), size (shingles), hashes, fp: one row per
+def benchmark_items(benchmark: DataFrame, text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
+    """item_id, _item (a hash of id and text), width (words in a shingle), size (shingles), hashes, fp, certain: one row per
     distinct item that has words."""
     tokens = benchmark.select("item_id", words(F.lower(whole(text))).alias("_w")).where(F.size("_w") > 0).distinct()
     width = F.least(F.size("_w"), F.lit(SHINGLE))
     by_width = tree([F.when(width == k, _shingles(F.col("_w"), k)) for k in range(1, SHINGLE + 1)], F.coalesce)
     rows = tokens.select("item_id", F.xxhash64("item_id", "_w").alias("_item"), width.alias("width"), by_width.alias("hashes"))
-    return rows.select("item_id", "_item", "width", F.size("hashes").alias("size"), "hashes", simhash(F.col("hashes")).alias("fp"))
+    return rows.select("item_id", "_item", "width", F.size("hashes").alias("size"), "hashes", simhash(F.col("hashes")).alias("fp"),
+                       certain(F.col("hashes"), similarity).alias("certain"))
 
 
 def _required(size: Column, shown: Column, similarity: float) -> Column:
@@ -105,7 +115,7 @@ def leaks(documents: DataFrame, benchmark: DataFrame, similarity: float = SIMILA
     A window has as many shingles as the item, in a shorter text all that there are. Null and blank texts and items
     never match; rows that repeat count once; null ids are kept; empty tables give no rows; other columns are not read.
     """
-    items = materialise(benchmark_items(benchmark, text), "benchmark-items")
+    items = materialise(benchmark_items(benchmark, text, similarity), "benchmark-items")
     widths = sorted(r["width"] for r in items.select("width").distinct().collect())  # five at most
     tokens = words(F.lower(whole(text)))
     texts = marked(documents, text).select("doc_id", "_mark", tokens.alias("_w"))
@@ -129,15 +139,10 @@ def leaks(documents: DataFrame, benchmark: DataFrame, similarity: float = SIMILA
                          on & (F.col("width") == F.col("_w")) & (F.col("start") == F.col("_s")) & (F.col("shown") == F.col("_n")))
     fingerprinted = named.select("doc_id", "_mark", "_item", "size", "shown", "start", "fp", "hashes")
 
-    # blocks of the windows meet those of their items
-    spots = F.array(*[F.struct(F.lit(b).alias("block"), _block(F.col("fp"), b).alias("value")) for b in range(BLOCKS)])
-    flips = [sum(1 << x for x in c) for n in range(NEAR + 1) for c in combinations(range(WIDTH), n)]
-    index = items.select(F.col("_item").alias("_i"), "item_id", F.col("fp").alias("_fp"), F.explode(spots).alias("_b")).select(
-        "_i", "item_id", "_fp", F.col("_b.block").alias("_block"),
-        F.explode(F.transform(F.array(*[F.lit(f) for f in flips]), lambda f: F.col("_b.value").bitwiseXOR(f))).alias("_value"))
-    probes = fingerprinted.select("*", F.explode(spots).alias("_b"))
-    met = probes.join(index, (F.col("_item") == F.col("_i")) & (F.col("_b.block") == F.col("_block")) & (F.col("_b.value") == F.col("_value")))
-    candidates = met.where(F.bit_count(F.col("fp").bitwiseXOR(F.col("_fp"))) <= RADIUS).dropDuplicates(["doc_id", "_mark", "_item", "start"])
+    # fingerprints within the radius of the item: its certain bits are the same
+    known = items.select(F.col("_item").alias("_i"), "item_id", F.col("fp").alias("_fp"), F.col("certain").alias("_c"))
+    met = fingerprinted.join(known, F.col("_item") == F.col("_i"))
+    candidates = met.where(F.col("fp").bitwiseXOR(F.col("_fp")).bitwiseAND(F.col("_c")) == 0)
 
     # exact similarity
     window = ["doc_id", "_mark", "_item", "item_id", "size", "shown", "start"]

@@ -122,20 +122,22 @@ OP10_SQL = r"""
 WITH doc_words AS (
   SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
 item_words AS (
-  SELECT row_number() OVER () AS i, item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM benchmark),
+  SELECT *, least(5, len(w)) AS k FROM (
+    SELECT row_number() OVER () AS i, item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM benchmark)
+  WHERE len(w) > 0),
 doc_shingles AS (
-  SELECT r, doc_id, len(w) - 4 AS m, p - 1 AS p, array_to_string(w[p:p + 4], ' ') AS s
-  FROM (SELECT *, unnest(range(1, len(w) - 3)) AS p FROM doc_words WHERE len(w) >= 5)),
+  SELECT r, doc_id, k, len(w) - k + 1 AS m, p - 1 AS p, array_to_string(w[p:p + k - 1], ' ') AS s
+  FROM (SELECT *, unnest(range(1, len(w) - k + 2)) AS p FROM doc_words JOIN (SELECT DISTINCT k FROM item_words) ON len(w) >= k)),
 item_shingles AS (
-  SELECT i, item_id, n, s, count(*) AS c FROM (
-    SELECT i, item_id, len(w) - 4 AS n, array_to_string(w[p:p + 4], ' ') AS s
-    FROM (SELECT *, unnest(range(1, len(w) - 3)) AS p FROM item_words WHERE len(w) >= 5)) GROUP BY ALL),
+  SELECT i, item_id, k, n, s, count(*) AS c FROM (
+    SELECT i, item_id, k, len(w) - k + 1 AS n, array_to_string(w[p:p + k - 1], ' ') AS s
+    FROM (SELECT *, unnest(range(1, len(w) - k + 2)) AS p FROM item_words)) GROUP BY ALL),
 windows AS (
-  SELECT DISTINCT r, doc_id, i, item_id, n, least(n, m) AS shown, least(p, greatest(m - n, 0)) AS t
-  FROM doc_shingles JOIN item_shingles USING (s)),
+  SELECT DISTINCT r, doc_id, i, item_id, k, n, least(n, m) AS shown, least(p, greatest(m - n, 0)) AS t
+  FROM doc_shingles JOIN item_shingles USING (s, k)),
 weights AS (
   SELECT w.r, w.doc_id, w.i, w.item_id, w.n, w.shown, w.t, d.s, count(*) AS a
-  FROM windows w JOIN doc_shingles d ON d.r = w.r AND d.p >= w.t AND d.p < w.t + w.shown GROUP BY ALL),
+  FROM windows w JOIN doc_shingles d ON d.r = w.r AND d.k = w.k AND d.p >= w.t AND d.p < w.t + w.shown GROUP BY ALL),
 scored AS (
   SELECT r, doc_id, item_id, t, sum(least(a, c)) / (n + shown - sum(least(a, c))) AS similarity
   FROM weights JOIN item_shingles USING (i, s, item_id, n) GROUP BY r, doc_id, i, item_id, n, shown, t)

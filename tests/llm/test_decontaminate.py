@@ -69,6 +69,52 @@ def test_many_items_take_the_shuffle_join(spark, docs, corpus):
     assert found(docs(*rows), spark, items, broadcast_shingles=0) == pytest.approx(brute(rows, items))
 
 
+@pytest.fixture(scope="module")
+def repeating():
+    """Items of few, often repeated shingles, whose fingerprints are full of ties, each with texts one word short or odd."""
+    rng = random.Random(23)
+    items, rows = [], []
+    for i in range(300):
+        period = [f"p{i}x{n}" for n in range(rng.randint(2, 6))]
+        words = (period * 40)[:rng.randint(30, 60)]
+        items.append((i, " ".join(words)))
+        for _ in range(5):
+            near, at = list(words), rng.randrange(len(words))
+            near[at:at + rng.randint(0, 1)] = [f"odd{len(rows)}"] * rng.randint(0, 1)
+            rows.append((len(rows), " ".join(near)))
+    return rows, items
+
+
+def test_items_of_repeated_shingles_lose_no_pair(spark, docs, repeating):
+    rows, items = repeating
+    by_id = dict(items)
+    expected = {}
+    for doc, text in rows:
+        expected |= brute([(doc, text)], [(doc // 5, by_id[doc // 5])])
+    assert len(expected) > 1000
+    assert found(docs(*rows), spark, items) == pytest.approx(expected)
+
+
+def test_certain_bits_hold_in_every_window_at_the_similarity(spark, repeating):
+    rng = random.Random(5)
+    rows = []
+    for _ in range(300):
+        own = [rng.getrandbits(64) - (1 << 63) for _ in range(rng.randint(1, 12))] * rng.randint(1, 6)
+        window = list(own)
+        for _ in range(rng.randint(0, 1 + len(own) // 8)):
+            window[rng.randrange(len(window))] = rng.getrandbits(64) - (1 << 63)
+        window = window[rng.randint(0, len(own) // 10):]
+        shared = sum((Counter(own) & Counter(window)).values())
+        if shared / (len(own) + len(window) - shared) >= 0.8:
+            rows.append((own, window))
+    frame = spark.createDataFrame(rows, "o array<bigint>, w array<bigint>")
+    got = frame.select(decontaminate.simhash(frame["o"]).alias("o"), decontaminate.simhash(frame["w"]).alias("w"),
+                       decontaminate.certain(frame["o"], 0.8).alias("c")).collect()
+    assert len(got) > 100
+    assert all((r.o ^ r.w) & r.c == 0 for r in got)
+    assert sum(bin(r.c % (1 << 64)).count("1") for r in got) > len(got)
+
+
 def test_start_of_the_best_window(spark, docs):
     item = " ".join(f"i{n}" for n in range(20))
     frame = docs((1, "a b c " + item + " d e"), (None, item))
