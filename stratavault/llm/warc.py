@@ -113,27 +113,50 @@ def _header_lines(stream: io.BufferedIOBase) -> tuple[dict[str, str], int]:
         found[name] = value.strip()
 
 
+def _cut_off(headers: dict[str, str]) -> ValueError:
+    return ValueError(f"WARC record {headers.get('warc-record-id', 'without id')} is cut off: its block ends before Content-Length")
+
+
+def _end(stream: io.BufferedIOBase) -> int:
+    """Length of a stream that has been read, or skipped, to its end; a skip in a packed one stops there."""
+    return stream.tell() if isinstance(stream, gzip.GzipFile) else stream.seek(0, io.SEEK_END)
+
+
 def records(stream: io.BufferedIOBase, tests: list[ds.Filter], payloads: bool) -> Iterator[dict]:
-    """Records that pass, as dicts of READ_SCHEMA's columns."""
+    """Records that pass, as dicts of READ_SCHEMA's columns.
+
+    A record that is cut off, read or skipped, and one without a whole Content-Length are errors that name the record. A
+    block that states to be HTTP but has no end of its header is a payload as a whole.
+    """
+    skipped, last = 0, {}  # where the last block that was not read should end
     while True:
         line = stream.readline()
         if not line:
+            if skipped > _end(stream):
+                raise _cut_off(last)
             return
         if not line.strip():
             continue
         if not line.startswith(b"WARC/"):
             raise ValueError(f"no WARC record: {line[:40]!r}")
         headers, _ = _header_lines(stream)
-        length = int(headers["content-length"])
+        stated = headers.get("content-length", "")
+        if not (stated.isascii() and stated.isdigit()):
+            raise ValueError(f"WARC record {headers.get('warc-record-id', 'without id')} has no Content-Length: {stated!r}")
+        length = int(stated)
         record = {column: headers.get(header) for column, header in HEADERS.items()}
         record["content_length"] = length
         record["payload_digest"] = _hex_digest(record["payload_digest"])
         if not all(_holds(t, record) for t in tests):
+            skipped, last = stream.tell() + length, headers
             stream.seek(length, io.SEEK_CUR)
             continue
         http, read = ({}, 0)
         if (record["content_type"] or "").startswith("application/http") and length:
             http, read = _header_lines(stream)
+            if read > length:
+                stream.seek(-read, io.SEEK_CUR)
+                http, read = {}, 0
         rest = length - read
         revisit = record["record_type"] == "revisit"
         stated = http.get("content-length", "")
@@ -141,8 +164,11 @@ def records(stream: io.BufferedIOBase, tests: list[ds.Filter], payloads: bool) -
         record["headers"] = list(headers.items())
         if payloads and not revisit:
             record["payload"] = stream.read(rest)
+            if len(record["payload"]) < rest:
+                raise _cut_off(headers)
         else:
             record["payload"] = None
+            skipped, last = stream.tell() + rest, headers
             stream.seek(rest, io.SEEK_CUR)
         yield record
 

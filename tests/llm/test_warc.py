@@ -1,3 +1,4 @@
+import gzip
 import hashlib
 import io
 
@@ -63,6 +64,37 @@ def test_unwanted_payloads_are_not_read():
     assert [r["payload_length"] for r in warc.records(Counting(data), [], False)] == [50_000] * 3 and Counting.longest == 0
 
 
+def _record(block, length=None, kind="resource", content="application/octet-stream"):
+    stated = f"Content-Length: {len(block) if length is None else length}\r\n"
+    return f"WARC/1.1\r\nWARC-Type: {kind}\r\nWARC-Record-ID: <urn:x>\r\nContent-Type: {content}\r\n{stated}\r\n".encode() + block + b"\r\n\r\n"
+
+
+@pytest.mark.parametrize("payloads", [True, False])
+@pytest.mark.parametrize("tests", [[], [ds.EqualTo(("record_type",), "other")]])
+def test_records_that_are_cut_off_are_errors(payloads, tests):
+    whole = _record(b"a" * 10) + _record(b"b" * 5000)
+    found = list(warc.records(io.BufferedReader(io.BytesIO(whole[:-4])), [], True))  # only the blank lines behind it are missing
+    assert [len(r["payload"]) for r in found] == [10, 5000]
+    for cut in (5, 3000, 5004):
+        for stream in (io.BufferedReader(io.BytesIO(whole[:-cut])), gzip.GzipFile(fileobj=io.BytesIO(gzip.compress(whole[:-cut])))):
+            with pytest.raises(ValueError, match="<urn:x> is cut off"):
+                list(warc.records(stream, tests, payloads))
+
+
+@pytest.mark.parametrize("length", ["", "-4", "ten"])
+def test_records_without_a_length_are_errors(length):
+    with pytest.raises(ValueError, match="<urn:x> has no Content-Length"):
+        list(warc.records(io.BytesIO(_record(b"abcd", length)), [], True))
+    headless = _record(b"abcd").replace(b"Content-Length: 4\r\n", b"")
+    with pytest.raises(ValueError, match="<urn:x> has no Content-Length"):
+        list(warc.records(io.BytesIO(headless), [], False))
+
+
+def test_http_block_without_end_of_header_is_a_payload():
+    stream = io.BufferedReader(io.BytesIO(_record(b"HTTP/1.1 200 OK", content="application/http") + _record(b"next")))
+    assert [r["payload"] for r in warc.records(stream, [], True)] == [b"HTTP/1.1 200 OK", b"next"]
+
+
 def test_foreign_archive(spark, tmp_path):
     """Line feeds, folded headers, an unknown digest and a record without HTTP, in a folder without a manifest."""
     (tmp_path / "x.warc").write_bytes(
