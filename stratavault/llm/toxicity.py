@@ -1,8 +1,8 @@
 """Toxicity by a classifier chain.
 
-Categories are predicted one after another by linear models over words and word beginnings; the log-odds of the earlier
-categories are inputs of the later models. In training these inputs come from out-of-fold predictions, so that a later
-model sees earlier ones as wrong as they will be on new documents.
+Categories are predicted one after another by linear models over words and word beginnings; the probabilities of the
+earlier categories are inputs of the later models. In training these inputs come from out-of-fold predictions, so that a
+later model sees earlier ones as wrong as they will be on new documents.
 
 Of the categories only ``toxic`` is labelled. ``severe`` is toxic with at least the median rate of toxic terms (terms
 that nearly always come with the label), ``toxic_junk`` is toxic and of bad quality.
@@ -85,20 +85,20 @@ def _matrix(rows: list[tuple[list[int], list[int], int]], width: int) -> np.ndar
     return x
 
 
+def _probability(scores: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(scores, -30, 30)))
+
+
 def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     weight, first, second = np.zeros(x.shape[1]), np.zeros(x.shape[1]), np.zeros(x.shape[1])
     for step in range(1, STEPS + 1):
-        p = 1 / (1 + np.exp(-np.clip(x @ weight, -30, 30)))
+        p = _probability(x @ weight)
         slope = x.T @ (y - p) / len(y) - PENALTY * weight
         first, second = 0.9 * first + 0.1 * slope, 0.999 * second + 0.001 * slope ** 2
         weight = weight + RATE * (first / (1 - 0.9 ** step)) / (np.sqrt(second / (1 - 0.999 ** step)) + 1e-8)
     return weight
 
 
-def _bounded(scores: np.ndarray) -> np.ndarray:
-    return np.clip(scores, -8, 8) / 4
-
-
 def fit(x: np.ndarray, y: np.ndarray, folds: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
     """Weights per category, and the out-of-fold log-odds of the first one."""
     weights, first = [], np.zeros(len(x))
@@ -111,7 +111,7 @@ def fit(x: np.ndarray, y: np.ndarray, folds: np.ndarray) -> tuple[list[np.ndarra
         weights.append(_logistic(x, y[:, c]))
         if c == 0:
             first = outside
-        x = np.column_stack([x, _bounded(outside)])
+        x = np.column_stack([x, _probability(outside)])
     return weights, first
 
 
@@ -120,8 +120,8 @@ def predict(x: np.ndarray, weights: list[np.ndarray]) -> np.ndarray:
     out = []
     for weight in weights:
         scores = x @ weight
-        out.append(1 / (1 + np.exp(-np.clip(scores, -30, 30))))
-        x = np.column_stack([x, _bounded(scores)])
+        out.append(_probability(scores))
+        x = np.column_stack([x, out[-1]])
     return np.column_stack(out)
 
 
@@ -132,7 +132,7 @@ def _threshold(scores: np.ndarray, y: np.ndarray) -> float:
     f1 = 2 * hits / (np.arange(1, len(y) + 1) + max(1, y.sum()))
     best = len(f1) - 1 - int(np.argmax(f1[::-1]))
     edge = scores[order[best]] if best + 1 == len(y) else (scores[order[best]] + scores[order[best + 1]]) / 2
-    return float(np.clip(1 / (1 + np.exp(-np.clip(edge, -30, 30))), 0.05, 0.95))
+    return float(np.clip(_probability(edge), 0.05, 0.95))
 
 
 def train(documents: DataFrame, labels: DataFrame, text: str = "text", most: int = TRAIN_DOCUMENTS, most_chars: int = TRAIN_CHARS,
