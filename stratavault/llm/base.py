@@ -14,6 +14,8 @@ from stratavault.session import materialise
 BLANK = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
 SALTS = 16
+#: Bits of a table of names that is sent to every executor (16 MB).
+SLOTS = 1 << 27
 #: Narrow rows (ids, hashes, short keys: under 100 bytes) up to this number are sent to every executor.
 BROADCAST_ROWS = 500_000
 
@@ -60,11 +62,32 @@ def tree(parts: Sequence[Column], join: Callable[[Column, Column], Column]) -> C
     return parts[0]
 
 
-def by_size(names: DataFrame, counted: DataFrame | None = None, most: int = BROADCAST_ROWS) -> DataFrame:
-    """``names``, to be broadcast if it has (or ``counted``, its parts, has) at most ``most`` rows; Spark joins it in a shuffle
-    beyond that. Both ways give the same rows; the first spares a shuffle of all texts."""
-    few = (names if counted is None else counted).limit(most + 1).count() <= most
-    return F.broadcast(names) if few else names
+def slot(*keys: Column) -> Column:
+    """Place of a name among ``SLOTS`` bits; nulls have one too."""
+    return F.pmod(F.xxhash64(*[k.cast("string") for k in keys]), F.lit(SLOTS))
+
+
+def sieved(rows: DataFrame, keys: Sequence[str], names: DataFrame, named: Sequence[str], value: Column | None = None, values: int = 1) -> DataFrame:
+    """``rows`` with ``_seen``: the sum of 2^v over all values v (0 to ``values`` - 1) that a name in the row's slot has.
+
+    ``keys`` of a row name it, ``named`` are the columns of ``names`` that hold this. So a row without a name in ``names`` may
+    have any ``_seen``, but a row with a name has the bit of its value set: 0 proves that it has no name, and a single bit
+    proves the value where all rows have names. All other rows, some (names / ``SLOTS``) of them, have to be joined. What
+    is broadcast is bounded at any number of names: ``SLOTS`` / 8 bytes for each value. Rows stay where they are.
+    """
+    place = names.select(slot(*[F.col(c) for c in named]).alias("_slot"), (F.lit(0) if value is None else value).alias("_v"))
+    dealt = place.select(F.shiftright("_slot", 15).alias("_slots"), F.col("_slot").bitwiseAND(F.lit(32767)).alias("_at"), "_v").repartition("_slots")
+    bits = dealt.groupBy("_slots").agg(*[F.expr(f"bitmap_construct_agg(_at) FILTER (WHERE _v = {v})").alias(f"_bits{v}") for v in range(values)])
+    found = rows.withColumn("_slot", slot(*[F.col(k) for k in keys])).join(
+        F.broadcast(bits), F.shiftright("_slot", 15) == F.col("_slots"), "left")
+    byte = "CAST(CONV(HEX(SUBSTRING(_bits{0}, CAST((_slot & 32767) DIV 8 AS INT) + 1, 1)), 16, 10) AS INT)"
+    seen = [F.coalesce(F.expr(f"(SHIFTRIGHT({byte.format(v)}, CAST(_slot & 7 AS INT)) & 1) * {1 << v}"), F.lit(0)) for v in range(values)]
+    return found.select(*rows.columns, tree(seen, lambda a, b: a + b).alias("_seen"))
+
+
+def packed(documents: DataFrame, text: str = "text") -> DataFrame:
+    """Rows as ``_row``, whatever their columns are called, with ``_id`` and ``_mark``, which name them."""
+    return documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("_row"), F.col("doc_id").alias("_id"), F.xxhash64(text).alias("_mark"))
 
 
 def hot_join(left: DataFrame, right: DataFrame, key: str, rows: str, spread: Column, share: int = 1000) -> DataFrame:
@@ -111,18 +134,35 @@ def marked(documents: DataFrame, text: str = "text") -> DataFrame:
     return documents.withColumn("_mark", F.xxhash64(text))
 
 
-def only(documents: DataFrame, keep: DataFrame, text: str = "text") -> DataFrame:
-    """The rows of ``documents`` named in ``keep`` (doc_id, _mark, rows): one of each name, where ``rows`` of them
-    repeat in doc_id and text. All columns stay, and their order."""
-    names = keep.select(F.col("doc_id").alias("_k_id"), F.col("_mark").alias("_k_mark"), F.col("rows").alias("_k_rows"))
-    names = materialise(names, "kept-names")
-    on = F.col("doc_id").eqNullSafe(F.col("_k_id")) & (F.col("_mark") == F.col("_k_mark"))
-    marks = marked(documents, text)
-    found = marks.join(by_size(names.where("_k_rows = 1")), on, "left_semi")
-    several = names.where("_k_rows > 1")
-    if not several.isEmpty():
-        found = found.unionByName(marks.join(by_size(several), on, "left_semi").dropDuplicates(["doc_id", "_mark"]))
-    return found.select(*documents.columns)
+def only(documents: DataFrame, named: DataFrame, text: str = "text") -> DataFrame:
+    """The rows of ``documents`` that ``named`` (doc_id, _mark, rows, stays; all names) lets stay: one of each name, where
+    ``rows`` of them repeat in doc_id and text. All columns stay, and their order.
+
+    Bits tell of nearly all rows whether they stay; only those for which they do not, and those that repeat, are shuffled."""
+    names = materialise(named.select(F.col("doc_id").alias("_k_id"), F.col("_mark").alias("_k_mark"), F.when(~F.col("stays"), 0).when(
+        F.col("rows") == 1, 1).otherwise(2).alias("_k_class")), "names")
+    seen = sieved(packed(documents, text), ["_id", "_mark"], names, ["_k_id", "_k_mark"], F.col("_k_class"), 3)
+    on = F.col("_id").eqNullSafe(F.col("_k_id")) & (F.col("_mark") == F.col("_k_mark"))
+    unsure = seen.where(~F.col("_seen").isin(1, 2)).dropDuplicates(["_id", "_mark"])
+    joined = unsure.join(names.where("_k_class > 0").hint("shuffle_hash"), on, "left_semi")
+    return seen.where("_seen = 2").select("_row.*").unionByName(joined.select("_row.*"))
+
+
+def without(documents: DataFrame, names: DataFrame, text: str = "text") -> DataFrame:
+    """``documents`` but for the rows named in ``names`` (_k_id, _k_mark; stored). Only rows in the slot of a name are shuffled."""
+    seen = sieved(packed(documents, text), ["_id", "_mark"], names, ["_k_id", "_k_mark"])
+    on = F.col("_id").eqNullSafe(F.col("_k_id")) & (F.col("_mark") == F.col("_k_mark"))
+    joined = seen.where("_seen = 1").join(names.hint("shuffle_hash"), on, "left_anti")
+    return seen.where("_seen = 0").select("_row.*").unionByName(joined.select("_row.*"))
+
+
+def texts_of(documents: DataFrame, names: DataFrame, text: str = "text") -> DataFrame:
+    """The rows of ``documents`` named in ``names`` (_d, _m, others; stored), as doc_id, _mark, _text and the other columns of
+    ``names``. Only texts in the slot of a name are shuffled."""
+    rows = documents.select("doc_id", F.xxhash64(text).alias("_mark"), F.col(text).cast("string").alias("_text"))
+    on = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_mark") == F.col("_m"))
+    near = sieved(rows, ["doc_id", "_mark"], names, ["_d", "_m"]).where("_seen = 1").drop("_seen")
+    return near.join(names.hint("shuffle_hash"), on).drop("_d", "_m")
 
 
 def components(edges: DataFrame) -> DataFrame:

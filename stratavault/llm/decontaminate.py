@@ -20,7 +20,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratavault.llm.base import by_size, marked, tree, whole, words
+from stratavault.llm.base import marked, texts_of, tree, whole, without, words
 from stratavault.session import materialise
 
 SHINGLE = 5
@@ -125,8 +125,7 @@ def leaks(documents: DataFrame, benchmark: DataFrame, similarity: float = SIMILA
     places = windows.groupBy("doc_id", "_mark").agg(F.collect_set(F.struct("width", "start", "shown")).alias("_at"))
     renamed = places.select(F.col("doc_id").alias("_d"), F.col("_mark").alias("_m"), "_at")
     on = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_mark") == F.col("_m"))
-    held = marked(documents, text).select("doc_id", "_mark", whole(text).alias("_text")).join(by_size(renamed, windows), on).select(
-        "doc_id", "_mark", "_at", words(F.lower(F.col("_text"))).alias("_w"))
+    held = texts_of(documents, materialise(renamed, "leak-places"), text).select("doc_id", "_mark", "_at", words(F.lower(whole("_text"))).alias("_w"))
     cut = None
     for width in widths or [SHINGLE]:
         at = held.select("doc_id", "_mark", F.filter("_at", lambda a: a["width"] == width).alias("_at"), _shingles(F.col("_w"), width).alias("_h"))  # noqa: B023
@@ -165,5 +164,4 @@ def leaked_pairs(documents: DataFrame, benchmark: DataFrame, **options) -> DataF
 def clean(documents: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
     """``documents`` without those that hold an item. All columns and all other rows stay."""
     found = leaks(documents, benchmark, text=text, **options).select(F.col("doc_id").alias("_k_id"), F.col("_mark").alias("_k_mark")).distinct()
-    on = F.col("doc_id").eqNullSafe(F.col("_k_id")) & (F.col("_mark") == F.col("_k_mark"))
-    return marked(documents, text).join(by_size(materialise(found, "leaked")), on, "left_anti").select(*documents.columns)
+    return without(documents, materialise(found, "leaked"), text)

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratavault.llm.base import by_size, hot_join, marked, only, repeated, salted_join, small_batches
+from stratavault.llm.base import hot_join, marked, only, repeated, salted_join, small_batches, texts_of
 from stratavault.session import materialise
 
 #: Two primes below 2**31 and a base for each.
@@ -134,9 +134,7 @@ def _slices(size: int):
 
 def _parts(documents: DataFrame, members: DataFrame, text: str, size: int) -> DataFrame:
     """key, doc_id, _mark, place, part: the normalised texts of ``members`` in chunks."""
-    names = members.select("key", F.col("doc_id").alias("_d"), F.col("_mark").alias("_m"))
-    on = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_mark") == F.col("_m"))
-    texts = marked(documents, text).withColumn("_text", F.col(text).cast("string")).select("doc_id", "_mark", "_text").join(by_size(names), on)
+    texts = texts_of(documents, members.select("key", F.col("doc_id").alias("_d"), F.col("_mark").alias("_m")), text)
     return texts.select("key", F.col("doc_id").cast("bigint").alias("doc_id"), "_mark", "_text").mapInPandas(
         _slices(size), "key string, doc_id bigint, _mark bigint, place bigint, part binary")
 
@@ -201,4 +199,4 @@ def duplicates(documents: DataFrame, **options) -> DataFrame:
 
 def deduplicated(documents: DataFrame, text: str = "text", **options) -> DataFrame:
     """``documents`` with one row of each class of equal texts. All columns stay."""
-    return only(documents, classes(documents, text=text, **options).where(_stays()).select("doc_id", "_mark", "rows"), text)
+    return only(documents, classes(documents, text=text, **options).select("doc_id", "_mark", "rows", _stays().alias("stays")), text)

@@ -15,7 +15,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratavault.llm.base import BROADCAST_ROWS, by_size, repeated, salted_join, whole, words
+from stratavault.llm.base import BROADCAST_ROWS, packed, repeated, salted_join, sieved, whole, words
 from stratavault.operators.ordering import numbered
 from stratavault.session import materialise
 
@@ -158,20 +158,29 @@ def mixed(documents: DataFrame, **options) -> DataFrame:
 def take(documents: DataFrame, text: str = "text", **options) -> DataFrame:
     """The rows of ``documents`` that the mix takes, all columns, with ``copies``: how often each is to be read.
     A column of that name gives way. Of rows equal in id, source and text, those with the least hashes are read more often."""
-    decided = decide(documents, text=text, **options).where("copies > 0 OR more > 0").select(
+    decided = decide(documents, text=text, **options).select(
         F.col("doc_id").alias("_d"), F.col("source").alias("_s"), F.col("_mark").alias("_m"), "rows", F.col("copies").alias("_copies"), F.col("more").alias("_more"))
     decided = materialise(decided, "mix-decided")
     kept = [c for c in documents.columns if c != "copies"]
-    on = (F.col("doc_id").eqNullSafe(F.col("_d")) & F.col("source").eqNullSafe(F.col("_s")) & (F.xxhash64(text) == F.col("_m")))
-    single = decided.where("rows = 1").drop("rows")
-    found = documents.join(by_size(single), on).select(*kept, (F.col("_copies") + F.col("_more")).alias("copies"))
-    several = decided.where("rows > 1").drop("rows")
+
+    # numbers up to MOST of rows that do not repeat are told by bits; the other rows are joined
+    class_ = F.when(F.col("rows") == 1, F.least(F.col("_copies") + F.col("_more"), F.lit(MOST + 1))).otherwise(MOST + 1)
+    rows = packed(documents.select(*kept), text).withColumn("_source", F.col("_row.source"))
+    seen = sieved(rows, ["_id", "_source", "_mark"], decided, ["_d", "_s", "_m"], class_, MOST + 2)
+    sure = [1 << n for n in range(MOST + 1)]
+    number = F.coalesce(*[F.when(F.col("_seen") == 1 << n, F.lit(n)) for n in range(1, MOST + 1)]).cast("bigint")
+    told = seen.where(F.col("_seen").isin(sure[1:])).select("_row.*", number.alias("copies"))
+    unsure = seen.where(~F.col("_seen").isin(sure))
+    on = F.col("_id").eqNullSafe(F.col("_d")) & F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_mark") == F.col("_m"))
+    single = decided.where("rows = 1 AND _copies + _more > 0").drop("rows")
+    found = told.unionByName(unsure.join(single.hint("shuffle_hash"), on).select("_row.*", (F.col("_copies") + F.col("_more")).alias("copies")))
+    several = decided.where("rows > 1 AND (_copies > 0 OR _more > 0)").drop("rows")
     if several.isEmpty():
         return found
     # rows that repeat are numbered by the partitions in which they were stored, never all in one task
     unit = ["_d", "_s", "_m"]
-    rows = documents.select(*kept).withColumns({"_part": F.spark_partition_id(), "_order": F.xxhash64(*kept)}).join(by_size(several), on)
-    stored = materialise(rows, "mix-repeated")
+    dealt = unsure.withColumns({"_part": F.spark_partition_id(), "_order": F.xxhash64("_row")})
+    stored = materialise(dealt.join(several.hint("shuffle_hash"), on), "mix-repeated")
     sizes = stored.groupBy(*unit, "_part").agg(F.count(F.lit(1)).alias("_n"))
     before = F.sum("_n").over(Window.partitionBy(*unit).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
     offsets = sizes.select(*[F.col(c).alias(f"_o{c}") for c in (*unit, "_part")], F.coalesce(before, F.lit(0)).alias("_before"))
@@ -180,4 +189,4 @@ def take(documents: DataFrame, text: str = "text", **options) -> DataFrame:
         same = same & F.col(c).eqNullSafe(F.col(f"_o{c}"))
     placed = stored.withColumn("_rn", F.row_number().over(Window.partitionBy(*unit, "_part").orderBy("_order"))).join(offsets, same)
     copies = F.col("_copies") + (F.col("_rn") + F.col("_before") <= F.col("_more")).cast("bigint")
-    return found.unionByName(placed.select(*kept, copies.alias("copies")).where("copies > 0"))
+    return found.unionByName(placed.select("_row.*", copies.alias("copies")).where("copies > 0"))

@@ -240,5 +240,5 @@ def near_duplicates(documents: DataFrame, **options) -> DataFrame:
 def deduplicated(documents: DataFrame, text: str = "text", **options) -> DataFrame:
     """``documents`` with one row of each component: that with the smallest doc_id. All columns stay."""
     found = clusters(documents, text=text, **options)
-    firsts = found.where(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("_mark") == F.col("first._mark")))
-    return only(documents, firsts.groupBy("doc_id", "_mark").agg(F.count(F.lit(1)).alias("rows")), text)
+    stays = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("_mark") == F.col("first._mark"))
+    return only(documents, found.groupBy("doc_id", "_mark").agg(F.count(F.lit(1)).alias("rows"), F.max(stays).alias("stays")), text)
