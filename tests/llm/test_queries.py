@@ -30,4 +30,4 @@ def test_query_matches_sql(spark, duck, name):
 
 
 def test_there_is_one_query_per_operator():
-    assert [n.split("_")[0] for n in QUERIES] == [f"op{n}" for n in range(1, 11)]
+    assert [n.split("_")[0] for n in QUERIES] == [f"op{n}" for n in range(1, 14)]
