@@ -64,3 +64,10 @@ def test_the_mix_takes_the_same_rows_however_few_the_bits(docs, monkeypatch):
     want = sorted(tuple(r) for r in mixing.take(frame).collect())
     monkeypatch.setattr(base, "SLOTS", 4)
     assert sorted(tuple(r) for r in mixing.take(frame).collect()) == want and want
+
+
+def test_a_table_of_names_grows_with_the_names():
+    """What is broadcast for few names is small; that of many is bounded."""
+    assert base.slots_for(0) == base.slots_for(2048) == 1 << 15
+    assert base.slots_for(2049) == 1 << 16 and base.slots_for(1 << 20) == 1 << 24
+    assert base.slots_for(1 << 23) == base.slots_for(1 << 40) == base.SLOTS == 1 << 27
