@@ -49,7 +49,8 @@ def profile_columns(df: DataFrame, columns: Sequence[str] | None = None) -> Data
             .withColumn("_is_decimal", number.rlike(DECIMAL_FORM)))
     has_point = F.contains(number, F.lit("."))
     digits = F.ltrim(F.substring_index(number, ".", 1), F.lit("-"))
-    exact = number.try_cast("decimal(38,10)")
+    # only numbers with a point are read: the cast is made for every cell, and a failed one is the dearest
+    exact = F.when(is_decimal & has_point, number).try_cast("decimal(38,10)")
     like = reduce(lambda a, b: a | b, [text.like(p) for p in DATETIME_LIKE])
     counted = read.groupBy("field_nm").agg(
         F.count(text).alias("not_null_count"),

@@ -1,8 +1,12 @@
+import re
+
 from datetime import date, datetime
 from decimal import Decimal
 
 from conftest import rows
 
+from pyspark.sql import functions as F
+
 from stratavault.operators import typing as ty
 
 NB = " "
@@ -60,3 +64,12 @@ def test_landing(spark):
     df = spark.createDataFrame([("a|b", 1, None), ("null", None, "x")], "`Имя, руб.` string, n int, `Unnamed: 2` string")
     got = ty.landing_clean(df)
     assert got.columns == ["Имя, руб.", "n"] and rows(got) == [("", ""), ("a b", "1")]
+
+
+def test_only_numbers_with_a_point_are_read_as_decimals(spark, frame):
+    """Other cells are not given to the cast, and the counts are those of the numbers alone."""
+    df = frame("('abc'), ('12'), ('1.50'), ('2.0'), ('1.00000000001'), ('-0.9'), ('1.5.2'), ('x.5'), (null)", "a")
+    row = ty.profile_columns(df).collect()[0]
+    assert (row["fractional_values_count"], row["integer_count"], row["decimal_count"]) == (2, 1, 5)
+    plan = ty.profile_columns(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert "try_cast" in plan and all("Contains(" in before[-60:] and before.endswith("THEN ") for before in re.split(r"(?:cast\(|FLOOR\()*try_cast\(", plan)[:-1])
