@@ -108,11 +108,18 @@ def inferred_types(df: DataFrame, threshold: float = 1.0) -> dict[str, str]:
     return {r["field_nm"]: r["field_type_nm"] for r in rows}
 
 
+def _whole_number(number: Column, kind: str, digits: int) -> Column:
+    """The whole part of a number text. Texts of so many digits, and ten behind a point at most, always fit and are read as they are;
+    any others, with an exponent, say, as decimals, which takes several times as long."""
+    plain = number.rlike(rf"\A-?[0-9]{{1,{digits}}}(\.[0-9]{{0,10}})?\z")
+    return F.when(plain, F.substring_index(number, ".", 1).try_cast(kind)).otherwise(number.try_cast("decimal(38,10)").try_cast(kind))
+
+
 def typed(name: str, type_name: str) -> Column:
     """One text column cast to its inferred type; unreadable text becomes null."""
     kind, c = type_name.upper(), _quoted(name).cast("string")
     if kind in (INTEGER_TYPE, LONG_TYPE):
-        value = clean_number(c).try_cast("decimal(38,10)").try_cast("int" if kind == INTEGER_TYPE else "bigint")
+        value = _whole_number(clean_number(c), *(("int", 9) if kind == INTEGER_TYPE else ("bigint", 18)))
     elif kind.startswith("DECIMAL"):
         value = clean_number(c).try_cast(kind.lower())
     elif kind == DATE_TYPE:

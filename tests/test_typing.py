@@ -73,3 +73,14 @@ def test_only_numbers_with_a_point_are_read_as_decimals(spark, frame):
     assert (row["fractional_values_count"], row["integer_count"], row["decimal_count"]) == (2, 1, 5)
     plan = ty.profile_columns(df)._jdf.queryExecution().optimizedPlan().toString()
     assert "try_cast" in plan and all("Contains(" in before[-60:] and before.endswith("THEN ") for before in re.split(r"(?:cast\(|FLOOR\()*try_cast\(", plan)[:-1])
+
+
+def test_whole_numbers_are_read_as_before(spark, frame):
+    texts = ["12", "-7", " 1 2", "12.0", "12.9", "-0.9", "5.", ".5", "1e3", "999999999", "2147483648", "-2147483648", "1234567890123456789",
+             "12345678901234567890", "1.99999999999", "x", "", "-", "--1", "+4", "1\n", "12\t", "١"]
+    df = spark.createDataFrame([(t,) for t in texts] + [(None,)], "a string")
+    for kind, into in ((ty.INTEGER_TYPE, "int"), (ty.LONG_TYPE, "bigint")):
+        old = ty.clean_number(F.col("a")).try_cast("decimal(38,10)").try_cast(into)
+        assert df.where(~ty.typed("a", kind).eqNullSafe(old)).count() == 0
+    plan = df.select(ty.typed("a", ty.INTEGER_TYPE))._jdf.queryExecution().optimizedPlan().toString()
+    assert "RLIKE" in plan.upper()
