@@ -65,7 +65,8 @@ def publish_verified(spark, d):
     pb.copy_files(changed, folder, "nation")
     found = pb.differing(spark, every, folder)
     second = {e["table_name"]: e["status"] for e in pb.publish_verified(spark, every, folder)}
-    rows = [(n, e["status"], e["target_rows"], n in found, second[n], not pb.differing(spark, {n: every[n]}, folder)) for n, e in first.items()]
+    left = pb.differing(spark, every, folder)
+    rows = [(n, e["status"], e["target_rows"], n in found, second[n], n not in left) for n, e in first.items()]
     return spark.createDataFrame(rows, "table_name string, status string, row_count bigint, damaged boolean, again string, same boolean")
 
 

@@ -122,11 +122,20 @@ def _row_hashes(df: DataFrame) -> list[Column]:
     return [F.xxhash64(F.lit(seed), *cells) for seed in (17, 23)]
 
 
+def _exact_sum(hashed: Column) -> Column:
+    """Sum of 64-bit numbers as a decimal, from the sums of three parts that are added as longs."""
+    low = F.sum(hashed.bitwiseAND(F.lit((1 << 21) - 1)))
+    middle = F.sum(F.shiftrightunsigned(hashed, 21).bitwiseAND(F.lit((1 << 21) - 1)))
+    high = F.sum(F.shiftright(hashed, 42))
+    low, middle, high = (part.cast("decimal(20,0)") for part in (low, middle, high))
+    return high * F.lit(1 << 42).cast("decimal(13,0)") + middle * F.lit(1 << 21).cast("decimal(7,0)") + low
+
+
 def fingerprint(df: DataFrame) -> list[Column]:
     """Aggregates that identify the rows of a table as a multiset, in any order and any partitions: their number and the sums of
-    two 64-bit row hashes. A sum has 38 digits, so more than 10**18 rows do not overflow it."""
+    two 64-bit row hashes, exact for up to 4 * 10**12 rows."""
     first, second = _row_hashes(df)
-    return [F.count(F.lit(1)).alias("n"), F.sum(first.cast("decimal(38,0)")).alias("h1"), F.sum(second.cast("decimal(38,0)")).alias("h2")]
+    return [F.count(F.lit(1)).alias("n"), _exact_sum(first).alias("h1"), _exact_sum(second).alias("h2")]
 
 
 def _plain(row) -> tuple[int, int, int]:

@@ -113,3 +113,11 @@ def test_untouched_groups_are_not_written(spark, database):
     assert r.load_business(spark, database, TS[2], rows_per_range=6).ranges_written == 0
     report = r.stored_layers(spark, database, TS[2])["report"]["pmu_revenue"]
     assert float(report.agg(F.sum("value")).first()[0]) * 1000 == 2 * (8 * 40 + 15)
+
+
+def test_fingerprint_sums_are_exact_and_in_longs(spark):
+    df = spark.range(1000).select(F.when(F.col("id") % 7 > 0, F.col("id")).alias("x"), F.col("id").cast("string").alias("y"))
+    hashes = [df.select(h.alias("h")).collect() for h in pb._row_hashes(df)]
+    assert pb.fingerprint_of(df) == (1000, *(sum(r["h"] for r in found) for found in hashes))
+    plan = df.agg(*pb.fingerprint(df))._jdf.queryExecution().optimizedPlan().toString()
+    assert "sum(cast(" not in plan and "decimal(38,0))" not in plan.split("Project")[-1]
