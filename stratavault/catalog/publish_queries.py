@@ -34,7 +34,10 @@ def pattern_counts(spark, d):
     for name, df in tables(spark, d).items():
         df.createOrReplaceTempView(f"stratavault_all_{name}")
     found = relations_by_pattern(spark, "%", "STRATAVAULT\\_ALL\\_%s", exclude="%labels")
-    return pb.row_counts({n.removeprefix("stratavault_all_"): spark.table(n) for n in found})
+    views = {n.removeprefix("stratavault_all_"): spark.table(n) for n in found}
+    for name in tables(spark, d):  # so that no other query finds them in the session
+        spark.catalog.dropTempView(f"stratavault_all_{name}")
+    return pb.row_counts(views)
 
 
 def publish_counts(spark, d):

@@ -39,3 +39,8 @@ def test_query_matches_sql(spark, duck, name):
     found = sorted(tuple(plain(v) for v in row) for row in df.collect())
     wanted = sorted(tuple(plain(row[i]) for i in order) for row in expected.fetchall())
     assert found == wanted
+
+
+def test_views_go_with_the_query_that_made_them(spark):
+    QUERIES["relations_by_pattern"].run(spark, str(DATA)).collect()
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("stratavault_all_")]
