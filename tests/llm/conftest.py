@@ -19,3 +19,10 @@ def clashing():
         from pyspark.sql import functions as F
         return df.withColumns({n: F.lit("x") for n in ("_mark", "rows", "key", "size", "fp", "hash", "copies", "rule", "host", "score", "_t", "_key", "label")})
     return add
+
+
+@pytest.fixture(autouse=True)
+def uncached(spark):
+    """What a test has cached goes with it; another one counts the cached blocks of the session."""
+    yield
+    spark.catalog.clearCache()
